@@ -98,27 +98,32 @@ def fold_state(state: DataFrame | None, metrics: DataFrame, running_mean: bool =
     missing side is 0.0, so a first batch is halved. Tags without news stay as
     they are. ``running_mean`` weighs by counts instead.
     """
-    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
-    new = metrics.select(
-        "tag", F.col("count").alias("_count"), F.col("scores").alias("_scores")
-    )
+    # The inputs go by names of their own: a lambda body would otherwise take
+    # the new count for the old one.
+    new = metrics.select("tag", F.col("count").alias("new_n"), F.col("scores").alias("new_scores"))
     if state is None:
         both = new.select(
-            "tag", F.lit(0).cast("bigint").alias("count"), empty.alias("scores"), "_count", "_scores"
+            "tag",
+            F.lit(None).cast("bigint").alias("old_n"),
+            F.lit(None).cast("map<string,double>").alias("old_scores"),
+            "new_n",
+            "new_scores",
         )
     else:
-        both = state.select("tag", "count", "scores").join(new, "tag", "full")
-    count = F.coalesce("count", F.lit(0))
-    scores = F.coalesce("scores", empty)
+        old = state.select("tag", F.col("count").alias("old_n"), F.col("scores").alias("old_scores"))
+        both = old.join(new, "tag", "full")
+    empty = F.create_map().cast("map<string,double>")
+    old_n, new_n = F.coalesce("old_n", F.lit(0)), F.coalesce("new_n", F.lit(0))
+    old_scores, new_scores = F.coalesce("old_scores", empty), F.col("new_scores")
     merged = (
-        _running_mean(scores, F.col("_scores"), count, F.col("_count"))
+        _running_mean(old_scores, new_scores, old_n, new_n)
         if running_mean
-        else _smooth(scores, F.col("_scores"))
+        else _smooth(old_scores, new_scores)
     )
     return both.select(
         "tag",
-        (count + F.coalesce("_count", F.lit(0))).alias("count"),
-        F.when(F.col("_scores").isNull(), F.col("scores")).otherwise(merged).alias("scores"),
+        (old_n + new_n).alias("count"),
+        F.when(new_scores.isNull(), F.col("old_scores")).otherwise(merged).alias("scores"),
     )
 
 
