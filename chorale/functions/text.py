@@ -13,9 +13,9 @@ NON_ASCII = r"[^\x00-\x7F]"
 
 
 def is_ascii(text: Column) -> Column:
-    # A search for an offending character: an anchored match would let a
-    # trailing U+0085 through, since Java's "$" takes it for a line end.
-    return ~text.rlike(NON_ASCII)
+    # Any other character takes more than one byte. Unlike an anchored pattern
+    # this also sees a trailing U+0085, and it needs no regular expression.
+    return F.length(text) == F.octet_length(text)
 
 
 def ascii_only(text: Column) -> Column:
@@ -58,7 +58,7 @@ def hashtags(text: Column, bare: bool = True) -> Column:
     ``#``, as the ranking does and the stream does not.
     """
     body = r"\S*" if bare else r"\S+"
-    return F.regexp_extract_all(text, F.lit(rf"(?<!\S)(#{body})"), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(rf"#(?<!\S#){body}"), F.lit(0))
 
 
 def word_count(text: Column) -> Column:
@@ -67,7 +67,7 @@ def word_count(text: Column) -> Column:
 
 def worthy_word(word: Column, stop_words: Sequence[str]) -> Column:
     """Word admission for the word ranking (FIL-9); case matters."""
-    keep = ~word.startswith("http") & is_ascii(word) & (F.length(word) > 3)
+    keep = (F.length(word) > 3) & is_ascii(word) & ~word.startswith("http")
     if stop_words:
         keep = keep & ~word.isin(list(stop_words))
     return keep

@@ -22,17 +22,18 @@ def scored_only(posts: DataFrame, scores: str = "scores") -> DataFrame:
 def lexicon_scores(posts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean term weight per post and tone, held to 0–1, in long form.
 
-    ``lexicon`` has (term, tone, weight). Terms are counted per post before the
-    join, so a frequent word is one row per post however often it occurs there.
+    ``lexicon`` has (term, tone, weight). A lexicon Spark finds small enough to
+    broadcast drops the other words where they are read, before any shuffle; a
+    larger one is joined by term, and AQE splits the partitions of common words.
     """
     words = posts.select(
-        key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"(\w+)"), F.lit(1))).alias("term")
+        key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))).alias("term")
     )
-    per_post = words.groupBy(key, "term").agg(F.count("*").alias("_n"))
-    weighted = per_post.join(lexicon, "term")
-    mean = F.sum(F.col("weight") * F.col("_n")) / F.sum("_n")
-    return weighted.groupBy(key, "tone").agg(
-        F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)).alias("score")
+    mean = F.avg("weight")
+    return (
+        words.join(lexicon, "term")
+        .groupBy(key, "tone")
+        .agg(F.least(F.lit(1.0), F.greatest(F.lit(0.0), mean)).alias("score"))
     )
 
 

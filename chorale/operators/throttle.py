@@ -40,6 +40,9 @@ def _summaries(gap: int, block_ms: int):
         out = []
         for block, times in zip(blocks, times_of):
             n = len(times)
+            if n == 1:
+                out.append((times, times))
+                continue
             after = np.searchsorted(times, times + gap, side="right")
             last = times.copy()
             for i in range(n - 1, -1, -1):
@@ -57,19 +60,28 @@ def _summaries(gap: int, block_ms: int):
 
 
 def _chain(gap: int):
-    """Per key: the last forwarded time before every block."""
-
-    def chain(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("block")
-        sent = rows["carry"].iloc[0]
-        sent = NEVER if pd.isna(sent) else int(sent)
-        entries = []
-        for firsts, lasts in zip(rows["firsts"], rows["lasts"]):
-            entries.append(sent)
-            at = np.searchsorted(np.asarray(firsts), sent + gap, side="right")
-            if at < len(lasts):
-                sent = int(lasts[at])
-        return pd.DataFrame({"key": rows["key"], "block": rows["block"], "sent": entries})
+    """Per key: the last forwarded time before every block, blocks in order.
+
+    The summaries of a key's blocks come end to end, with their lengths.
+    """
+
+    @F.pandas_udf("array<bigint>")
+    def chain(
+        lengths_of: pd.Series, firsts_of: pd.Series, lasts_of: pd.Series, carry_of: pd.Series
+    ) -> pd.Series:
+        out = []
+        for lengths, firsts, lasts, carry in zip(lengths_of, firsts_of, lasts_of, carry_of):
+            sent = NEVER if pd.isna(carry) else int(carry)
+            entries, start = [], 0
+            for length in lengths:
+                entries.append(sent)
+                end = start + length
+                at = start + np.searchsorted(firsts[start:end], sent + gap, side="right")
+                if at < end:
+                    sent = int(lasts[at])
+                start = end
+            out.append(entries)
+        return pd.Series(out)
 
     return chain
 
@@ -81,6 +93,9 @@ def _replay(gap: int):
     def replay(times_of: pd.Series, sent_of: pd.Series) -> pd.Series:
         out = []
         for times, sent in zip(times_of, sent_of):
+            if len(times) == 1:
+                out.append([0] if times[0] > sent + gap else [])
+                continue
             kept = []
             at = np.searchsorted(times, sent + gap, side="right")
             while at < len(times):
@@ -107,8 +122,7 @@ def throttle(
     two of them can both be forwarded. ``carry`` gives (key, sent_ms) of earlier
     runs. Join the result back on the message id for whole rows.
     """
-    block_ms = block_ms or max(600_000, gap_ms)
-    kind = messages.schema[key].dataType.simpleString()
+    block_ms = block_ms or max(600_000, 8 * gap_ms)
     per_ms = (
         messages.select(
             F.col(key).alias("key"), millis(messages, ts).alias("ms"), F.col(message_id).alias("_id")
@@ -126,14 +140,25 @@ def throttle(
     summaries = blocks.select(
         "key", "block", _summaries(gap_ms, block_ms)("block", "times").alias("s")
     ).select("key", "block", "s.*")
+    chains = (
+        summaries.groupBy("key")
+        .agg(F.array_sort(F.collect_list(F.struct("block", "firsts", "lasts"))).alias("b"))
+        .select(
+            "key",
+            F.col("b.block").alias("blocks"),
+            F.transform("b", lambda b: F.size(b["firsts"])).alias("lengths"),
+            F.flatten("b.firsts").alias("firsts"),
+            F.flatten("b.lasts").alias("lasts"),
+        )
+    )
     if carry is None:
-        summaries = summaries.withColumn("carry", F.lit(None).cast("bigint"))
+        chains = chains.withColumn("carry", F.lit(None).cast("bigint"))
     else:
-        sent = carry.select("key", F.col("sent_ms").alias("carry"))
-        summaries = summaries.join(sent, "key", "left")
-    entries = summaries.groupBy("key").applyInPandas(
-        _chain(gap_ms), f"key {kind}, block bigint, sent bigint"
-    )
+        chains = chains.join(carry.select("key", F.col("sent_ms").alias("carry")), "key", "left")
+    sent = _chain(gap_ms)("lengths", "firsts", "lasts", "carry")
+    entries = chains.select("key", "blocks", sent.alias("sents")).select(
+        "key", F.inline(F.arrays_zip(F.col("blocks").alias("block"), F.col("sents").alias("sent")))
+    ).toDF("key", "block", "sent")
     return (
         blocks.join(entries, ["key", "block"])
         .withColumn("_kept", _replay(gap_ms)("times", "sent"))

@@ -11,6 +11,7 @@ from chorale.plans import views
 from chorale.plans.registry import query
 from chorale.plans.views import with_views
 from chorale.schemas import FACTORS, TONES
+from chorale.sources.tables import spread
 
 KEYWORDS = ["With", "there"]
 
@@ -181,7 +182,7 @@ _STOP = ", ".join(f"('{w}')" for w in tx.STOP_WORDS)
     GROUP BY word ORDER BY n DESC, word LIMIT 10"""
 )
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.top_words(views.table(spark, sf_dir, "documents"))
+    return tags.top_words(spread(views.table(spark, sf_dir, "documents").select("text")))
 
 
 @query(
@@ -295,5 +296,6 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((F.length("term") % 5) / 4.0).alias("weight"),
         )
     )
-    scored = enrich.lexicon_scores(views.table(spark, sf_dir, "documents"), lexicon, "doc_id")
+    documents = spread(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    scored = enrich.lexicon_scores(documents, lexicon, "doc_id")
     return scored.withColumn("score", F.round("score", 9))

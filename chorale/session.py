@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Call-site capture for every column call doubles the time plans take to build.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
