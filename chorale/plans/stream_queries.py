@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale import sinks
+from chorale.operators import rows
 from chorale.operators import tagstate as tg
 from chorale.operators import throttle as th
 from chorale.plans import views
@@ -20,6 +21,7 @@ from chorale.plans.views import with_views
 from chorale.session import scratch_path
 from chorale.sources import streams
 from chorale.streaming import pipelines as pl
+from chorale.streaming import tags
 from chorale.streaming.jobs import StreamJob
 from chorale.streaming.state import Snapshot
 
@@ -201,6 +203,30 @@ def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    with_views(
+        _STATE_BY_SLICE
+        + """ SELECT batch_id, tag, tone, "count", score FROM state WHERE (batch_id, tag) IN (SELECT b, tag FROM batches)""",
+        "tag_tones",
+    )
+)
+def stored_tag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tags each batch changed, from the job that keeps them in the state store."""
+    changes = scratch_path(spark, "changes")
+    posts = rows.admit(views.event_posts(spark, sf_dir, _stream(spark, sf_dir)))
+    StreamJob(
+        lambda: tags.stored_metrics(
+            posts,
+            scratch_path(spark, "top"),
+            scratch_path(spark, "checkpoint"),
+            pl.write_message_folder(scratch_path(spark, "messages")),
+            pl.write_message_folder(changes),
+        )
+    ).run_available()
+    found = tg.tags_only(spark.read.parquet(changes))
+    return found.select("batch_id", "tag", "count", F.explode("scores").alias("tone", "score"))
+
+
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def captured_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = _stream(spark, sf_dir)
@@ -233,6 +259,6 @@ def post_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     posts = views.event_posts(spark, sf_dir).select(
         F.lit("a \"b\"").alias("author"), F.col("user_id").cast("string").alias("userid"), "text", "scores"
     )
-    rows = sinks.post_channel(posts)
+    sent = sinks.post_channel(posts)
     read = F.get_json_object("payload", "$.text")
-    return rows.groupBy("channel").agg(F.count("*").alias("n"), F.sum(F.length(read)).alias("chars"))
+    return sent.groupBy("channel").agg(F.count("*").alias("n"), F.sum(F.length(read)).alias("chars"))

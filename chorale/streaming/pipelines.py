@@ -12,8 +12,7 @@ from chorale.operators import tagstate as tg
 from chorale.operators import throttle as th
 from chorale.operators.rows import admit
 from chorale.streaming.state import Snapshot
-
-TAG_STATE = "tag string, count bigint, scores map<string,double>"
+from chorale.streaming.tags import TAG_STATE
 
 
 def capture(posts: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ()) -> DataStreamWriter:
@@ -76,6 +75,10 @@ def running_metrics(
     A batch is grouped before it meets the state, so the rows of a hot tag are
     combined where they are read and the join carries one row per tag. The total
     is a row of the same state: one pass over the batch serves both.
+
+    The state table is read and written whole in every batch, which lets a batch
+    be enriched in any way. For many millions of tags and posts that already
+    have their scores use :func:`chorale.streaming.tags.stored_metrics`.
     """
     states = Snapshot(state_path, TAG_STATE)
 

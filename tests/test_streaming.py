@@ -12,6 +12,7 @@ from chorale.plans import views
 from chorale.session import cached, scratch_root
 from chorale.sources import streams, tables
 from chorale.streaming import pipelines as pl
+from chorale.streaming import tags
 from chorale.streaming.jobs import ProgressLog, StreamJob
 from chorale.streaming.state import Snapshot
 
@@ -267,3 +268,43 @@ def test_event_posts_view(spark, sf_dir):
     posts = views.event_posts(spark, sf_dir)
     assert posts.where(F.size("scores") > 2).count() == 0
     assert posts.where(F.size("scores") == 1).count() > 0
+
+
+def test_stored_state_equals_folded_state(spark, tmp_path):
+    src, top, out, log = (str(tmp_path / n) for n in ("src", "top", "out", "changes"))
+    batches = [
+        [(1, "en", "#x one", {"anger": 10.0, "joy": 2.0}), (2, "en", "no tag", None)],
+        [(3, "en", "#x #x", {"anger": 20.0}), (4, "en", "#y # z", {"joy": 6.0}), (5, "en", "#y", {"joy": 1.01})],
+        [(6, "en", "#y", {"joy": 2.0}), (7, "en", "#z", {"joy": 2.0})],
+    ]
+    for b in batches:
+        _write(spark, src, b)
+        time.sleep(0.05)
+    job = StreamJob(
+        lambda: tags.stored_metrics(
+            _source(spark, src), top, str(tmp_path / "cp"), pl.write_message_folder(out), pl.write_message_folder(log), n=2
+        )
+    ).run_available()
+    assert job.query.lastProgress["batchId"] == 2
+    state, messages, changed = None, [], {}
+    for i, b in enumerate(batches):
+        metrics = tg.batch_metrics(tg.counted_rows(spark.createDataFrame(b, POSTS)))
+        state = tg.fold_state(state, metrics)
+        seen = [r.tag for r in metrics.collect()]
+        rows = state.collect()
+        changed |= {(i, r.tag): (r["count"], r.scores) for r in rows if r.tag in seen}
+        messages += [(i, r.topic, r.value) for r in tg.metric_messages(tg.tags_only(state), 2).collect()]
+        messages += [(i, r.topic, r.value) for r in tg.total_message(tg.total_only(state)).collect()]
+    got = {(r.batch_id, r.tag): (r["count"], r.scores) for r in spark.read.parquet(log).collect()}
+    assert got == changed
+    read = [(r.batch_id, r.topic, r.value) for r in spark.read.parquet(out).collect()]
+    assert sorted(read) == sorted(messages)
+
+
+def test_combiner_hands_on_when_full(monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(tags, "HELD", 10)
+    batches = [pd.DataFrame({"tag": [f"#{i}" for i in range(j, j + 8)], "tone": "t", "score": 1.0}) for j in (0, 4, 8)]
+    out = pd.concat(tags.combine(iter(batches)))
+    assert out["n"].sum() == 24 and out.groupby("tag")["n"].sum()["#5"] == 2
