@@ -1,15 +1,17 @@
 """Queries over events: decoding, streaming runs and their batch twins.
 
-The streaming queries run real Structured Streaming jobs over all events,
-written out as one file per slice of days so that every slice is a micro-batch.
+The streaming queries run real Structured Streaming jobs over all events, which
+arrive in slices of days so that every slice is a micro-batch.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from chorale import sinks
 from chorale.operators import rows
@@ -104,39 +106,39 @@ def tag_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumn("scores", F.array_join(entries, ";"))
 
 
-def write_slices(spark: SparkSession, sf_dir: str) -> str:
-    """All events in a fresh folder, a file per five days, oldest first.
+def replay(
+    spark: SparkSession, sf_dir: str, build: Callable[[DataFrame], DataStreamWriter]
+) -> int:
+    """Feed all events to a job, five days at a time; number of the last batch.
 
-    One job per slice: the file stream takes files in the order of their times.
+    Each slice is written in parallel to the folder the job watches, and the job
+    is started again from its checkpoint: one slice, one micro-batch.
     """
     path = scratch_path(spark, "events")
     events = views.table(spark, sf_dir, "events")
     number = ((F.dayofmonth("ts") - 1) / 5).cast("int")
+    job = StreamJob(lambda: build(streams.read_files(spark, path, events.schema)))
+    last = -1
     for piece in range(7):
         part = events.where(number == piece)
         if not part.isEmpty():
-            part.coalesce(1).write.mode("append").parquet(path)
-    return path
-
-
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = views.table(spark, sf_dir, "events").schema
-    return streams.read_files(spark, write_slices(spark, sf_dir), schema, files_per_batch=1)
+            part.write.mode("append").parquet(path)
+            last = job.run_available().query.lastProgress["batchId"]
+    return last
 
 
 @lru_cache(maxsize=8)
 def _metrics_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
     """Run the metrics job once; folders of its messages and state, last batch."""
-    out, state = scratch_path(spark, "messages"), scratch_path(spark, "state")
-    job = StreamJob(
-        lambda: pl.running_metrics(
-            views.event_posts(spark, sf_dir, _stream(spark, sf_dir)),
-            state,
-            scratch_path(spark, "checkpoint"),
-            pl.write_message_folder(out),
-        )
-    ).run_available()
-    return out, state, job.query.lastProgress["batchId"]
+    out, state, checkpoint = (scratch_path(spark, n) for n in ("messages", "state", "checkpoint"))
+    last = replay(
+        spark,
+        sf_dir,
+        lambda events: pl.running_metrics(
+            views.event_posts(spark, sf_dir, events), state, checkpoint, pl.write_message_folder(out)
+        ),
+    )
+    return out, state, last
 
 
 _ADMITTED = "WHERE lang = 'en'"
@@ -212,27 +214,29 @@ def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def stored_tag_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tags each batch changed, from the job that keeps them in the state store."""
-    changes = scratch_path(spark, "changes")
-    posts = rows.admit(views.event_posts(spark, sf_dir, _stream(spark, sf_dir)))
-    StreamJob(
-        lambda: tags.stored_metrics(
-            posts,
-            scratch_path(spark, "top"),
-            scratch_path(spark, "checkpoint"),
-            pl.write_message_folder(scratch_path(spark, "messages")),
+    changes, top, out, checkpoint = (
+        scratch_path(spark, n) for n in ("changes", "top", "messages", "checkpoint")
+    )
+    replay(
+        spark,
+        sf_dir,
+        lambda events: tags.stored_metrics(
+            rows.admit(views.event_posts(spark, sf_dir, events)),
+            top,
+            checkpoint,
+            pl.write_message_folder(out),
             pl.write_message_folder(changes),
-        )
-    ).run_available()
+        ),
+    )
     found = tg.tags_only(spark.read.parquet(changes))
     return found.select("batch_id", "tag", "count", F.explode("scores").alias("tone", "score"))
 
 
 @query("SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def captured_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stream = _stream(spark, sf_dir)
     out, checkpoint = scratch_path(spark, "capture"), scratch_path(spark, "checkpoint")
-    StreamJob(lambda: pl.capture(stream, out, checkpoint)).run_available()
-    return sinks.captured(spark, out, stream.schema)
+    replay(spark, sf_dir, lambda events: pl.capture(events, out, checkpoint))
+    return sinks.captured(spark, out, views.table(spark, sf_dir, "events").schema)
 
 
 @query(
