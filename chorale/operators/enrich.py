@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Scorer = Callable[[DataFrame], DataFrame]
@@ -19,6 +20,26 @@ def scored_only(posts: DataFrame, scores: str = "scores") -> DataFrame:
     return posts.where(F.col(scores).isNotNull())
 
 
+def score_column(score: Callable[[str], Mapping[str, float] | None], text: Column) -> Column:
+    """Scores of a user's own Python function, by Arrow batches (UDF-1).
+
+    A text on which the function fails has null scores and the job goes on.
+    Being row by row, it serves streams as well.
+    """
+
+    @F.pandas_udf("map<string,double>")
+    def run(texts: pd.Series) -> pd.Series:
+        def one(t):
+            try:
+                return dict(score(t)) if t is not None else None
+            except Exception:
+                return None
+
+        return pd.Series([one(t) for t in texts], dtype=object)
+
+    return run(text)
+
+
 def lexicon_scores(posts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean term weight per post and tone, held to 0–1, in long form.
 

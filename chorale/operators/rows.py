@@ -38,6 +38,16 @@ def within(df: DataFrame, ts: str, start: str, end: str) -> DataFrame:
     )
 
 
+def matching(df: DataFrame, column: str, value: object) -> DataFrame:
+    """Rows with a category value, where None picks the missing ones (FIL-7, SET-2)."""
+    return df.where(F.col(column).eqNullSafe(F.lit(value)))
+
+
+def wordy(df: DataFrame, text: str = "text", more_than: int = 100) -> DataFrame:
+    """Rows whose text has more than so many words (FIL-10)."""
+    return df.where(tx.word_count(F.col(text)) > more_than)
+
+
 def flagged(df: DataFrame, flag: str) -> DataFrame:
     return df.where(F.col(flag))
 

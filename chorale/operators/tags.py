@@ -54,16 +54,20 @@ def without_words(words: DataFrame, stop_words: DataFrame, word: str = "word") -
     return words.join(stop_words.select(F.col(stop_words.columns[0]).alias(word)), word, "left_anti")
 
 
+def _counts_by_tag(top: DataFrame) -> Column:
+    """The ranked tags (a handful of rows) as one map value, a scalar subquery."""
+    return top.agg(F.map_from_entries(F.collect_list(F.struct("tag", "n")))).scalar()
+
+
 def tag_matches(posts: DataFrame, top: DataFrame, text: str = "text") -> DataFrame:
     """Posts paired with every top tag they contain as a substring (JOIN-5).
 
-    The ranked tags (at most n rows) reach the scan as one array value through
-    a scalar subquery: each text is tested where it is read, without a join.
+    The ranked tags reach the scan as a constant, so each text is tested where
+    it is read, without a join.
     """
-    tags = top.agg(F.array_sort(F.collect_list("tag"))).scalar()
-    hits = F.filter("_tags", lambda t: F.col(text).contains(t))
+    hits = F.filter(F.map_keys("_tags"), lambda t: F.col(text).contains(t))
     return (
-        posts.withColumn("_tags", tags)
+        posts.withColumn("_tags", _counts_by_tag(top))
         .withColumn("_hits", hits)
         .where(F.size("_hits") > 0)
         .withColumn("tag", F.explode("_hits"))
@@ -111,12 +115,9 @@ def tag_tone_arrays(
         F.array(*[F.lit(t) for t in by_name]).alias("tones"),
         F.array(*[F.col(t) for t in by_name]).alias("means"),
     )
-    rank = top.agg(
-        F.map_from_entries(F.collect_list(F.struct("tag", "n")))
-    ).scalar()
-    n_of_tag: Column = F.coalesce(F.try_element_at("_rank", F.col("tag")), F.lit(0))
+    n_of_tag = F.coalesce(F.try_element_at("_rank", F.col("tag")), F.lit(0))
     return (
-        means.withColumn("_rank", rank)
+        means.withColumn("_rank", _counts_by_tag(top))
         .withColumn("n", n_of_tag.cast("bigint"))
         .drop("_rank")
         .orderBy(F.desc("n"), "tag")

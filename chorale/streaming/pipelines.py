@@ -41,6 +41,11 @@ def write_batches(
     return posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
 
+def print_batches(df: DataFrame, rows: int = 10) -> DataStreamWriter:
+    """Show the first rows of every batch on the console (SNK-9)."""
+    return df.writeStream.format("console").option("numRows", rows).option("truncate", "false")
+
+
 def running_total(posts: DataFrame, key: str = tg.TOTAL) -> DataFrame:
     """Rows seen so far as one keyed row, for complete output mode (STR-2)."""
     return posts.groupBy(F.lit(key).alias("key")).agg(F.count("*").alias("count"))

@@ -120,3 +120,14 @@ def test_lexicon_enrichment(spark):
     out = enrich.enrich(posts, enrich.lexicon_scorer(lexicon, "id"), "id")
     assert {r.id: r.scores for r in out.collect()} == {1: {"joy": 0.75, "anger": 1.0}, 2: None}
     assert [r.id for r in enrich.scored_only(out).collect()] == [1]
+
+
+def test_python_scorer_survives_failures(spark):
+    def score(text):
+        if text == "bad":
+            raise ValueError(text)
+        return {"len": float(len(text))}
+
+    posts = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, None)], "id int, text string")
+    out = posts.withColumn("scores", enrich.score_column(score, F.col("text")))
+    assert {r.id: r.scores for r in out.collect()} == {1: {"len": 3.0}, 2: None, 3: None}

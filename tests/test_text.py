@@ -112,3 +112,14 @@ def test_share_sums_to_hundred(spark):
     counts = spark.createDataFrame([("a", 1), ("b", 3)], "k string, n bigint")
     shares = {r.k: r.share for r in rows.with_share(counts, "n").collect()}
     assert shares == {"a": 25.0, "b": 75.0}
+
+
+def test_category_and_missing_rows(spark):
+    df = spark.createDataFrame([("a",), (None,)], "k string")
+    assert [r.k for r in rows.matching(df, "k", "a").collect()] == ["a"]
+    assert [r.k for r in rows.matching(df, "k", None).collect()] == [None]
+
+
+def test_wordy(spark):
+    df = spark.createDataFrame([("a b c",), ("a b",)], "text string")
+    assert [r.text for r in rows.wordy(df, more_than=2).collect()] == ["a b c"]
