@@ -37,7 +37,9 @@ def point_part(location: Column, index: int) -> Column:
     The text between the first ``(`` and the next ``)`` is cut at blanks.
     """
     inside = F.split_part(F.split_part(location, F.lit("("), F.lit(2)), F.lit(")"), F.lit(1))
-    return F.split_part(inside, F.lit(" "), F.lit(index)).try_cast("float")
+    part = F.split_part(inside, F.lit(" "), F.lit(index))
+    # A type suffix, as in "1.5f", is no part of a number here.
+    return F.when(~part.rlike("[0-9.][dDfF]$"), part.try_cast("float"))
 
 
 def midnight(ts: Column) -> Column:

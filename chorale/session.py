@@ -17,6 +17,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split hot join keys even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Streaming state on the executors' disks rather than in their heaps.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Call-site capture for every column call doubles the time plans take to build.

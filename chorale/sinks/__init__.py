@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,12 +89,12 @@ def captured(
     spark: SparkSession, path: str, schema: T.StructType = SCORED_POST, view: str | None = None
 ) -> DataFrame | None:
     """The table a capture has written so far, or None while it is empty (SNK-4)."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    table = spark.read.schema(schema).parquet(path)
+    try:
+        table = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
     if table.isEmpty():
         return None
     return register(table, view) if view else table

@@ -37,7 +37,8 @@ def test_polarity_keeps_repeated_messages_like_a_join_first_plan(spark):
 def test_clean_up(spark):
     df = spark.createDataFrame(
         [(i, dt.datetime(2015, 3, 4, 17, 20, 1), "b", "male", None, c, "Rome", "en", place, 1, 2, "POSITIVE")
-         for i, c, place in [(1, None, "pos (42.5 -71.1)"), (2, "Italy", "pos (42.5)"), (3, "x", "xyz"), (4, "x", None)]],
+         for i, c, place in [(1, None, "pos (42.5 -71.1)"), (2, "Italy", "pos (42.5)"), (3, "x", "xyz"), (4, "x", None),
+                                 (5, "x", "pos (1.5f inf)")]],
         "MESSAGE_ID int, MESSAGE_POSTED_TIME timestamp, MESSAGE_BODY string, USER_GENDER string, USER_STATE string, "
         "USER_COUNTRY string, USER_CITY string, MESSAGE_LANGUAGE string, MESSAGE_LOCATION string, "
         "USER_FOLLOWERS_COUNT int, USER_FRIENDS_COUNT int, SENTIMENT string",
@@ -47,7 +48,7 @@ def test_clean_up(spark):
     assert (out["1"].USER_COUNTRY, out["2"].USER_COUNTRY, out["1"].USER_STATE) == ("NONE", "ITALY", "NONE")
     place = [(r.MESSAGE_LOCATION_LONGITUDE, r.MESSAGE_LOCATION_LATITUDE) for _, r in sorted(out.items())]
     assert place[0][0] == 42.5 and abs(place[0][1] + 71.1) < 1e-5
-    assert place[1:] == [(42.5, None), (None, None), (None, None)]
+    assert place[1:] == [(42.5, None), (None, None), (None, None), (None, float("inf"))]
     assert len(mentions.clean_messages(df).columns) == 13
 
 
