@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from chorale import sinks
+from chorale.functions.messages import midnight
 from chorale.operators import rows
 from chorale.operators import tagstate as tg
 from chorale.operators import throttle as th
 from chorale.plans import views
 from chorale.plans.registry import query
 from chorale.plans.views import with_views
-from chorale.session import scratch_path
+from chorale.session import scratch_path, settings
 from chorale.sources import streams
 from chorale.streaming import pipelines as pl
 from chorale.streaming import tags
@@ -60,7 +61,7 @@ _STATE = _FOLD + """, state AS (
 
 
 def _state_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.event_posts(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    posts = views.event_posts(spark, sf_dir).withColumn("day", midnight(F.col("ts")))
     metrics = tg.batch_metrics(tg.tag_tone_rows(posts, keep=("day",)), keep=("day",))
     return tg.state_of_batches(metrics, "day")
 
@@ -90,14 +91,14 @@ def tag_state_top5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_views(
         ", per AS (SELECT day, tag, tone, sum(score) AS s, count(*) AS n FROM tag_tones GROUP BY 1, 2, 3) "
-        "SELECT day, tag, CAST(sum(n) // count(*) AS BIGINT) AS \"count\", "
+        "SELECT CAST(day AS TIMESTAMP) AS day, tag, CAST(sum(n) // count(*) AS BIGINT) AS \"count\", "
         "string_agg(tone || '=' || CAST(round(CAST(s / n AS DECIMAL(30, 12)), 2)::DOUBLE AS VARCHAR), ';' ORDER BY tone) AS scores "
         "FROM per GROUP BY 1, 2",
         "tag_tones",
     )
 )
 def tag_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    posts = views.event_posts(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    posts = views.event_posts(spark, sf_dir).withColumn("day", midnight(F.col("ts")))
     metrics = tg.batch_metrics(tg.tag_tone_rows(posts, keep=("day",)), keep=("day",))
     entries = F.transform(
         F.array_sort(F.map_entries("scores")),
@@ -119,11 +120,14 @@ def replay(
     number = ((F.dayofmonth("ts") - 1) / 5).cast("int")
     job = StreamJob(lambda: build(streams.read_files(spark, path, events.schema)))
     last = -1
-    for piece in range(7):
-        part = events.where(number == piece)
-        if not part.isEmpty():
-            part.write.mode("append").parquet(path)
-            last = job.run_available().query.lastProgress["batchId"]
+    # State is cut into this many parts for as long as its checkpoint lives.
+    cores = str(spark.sparkContext.defaultParallelism)
+    with settings(spark, {"spark.sql.shuffle.partitions": cores}):
+        for piece in range(7):
+            part = events.where(number == piece)
+            if not part.isEmpty():
+                part.write.mode("append").parquet(path)
+                last = job.run_available().query.lastProgress["batchId"]
     return last
 
 
@@ -208,7 +212,7 @@ def metric_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     with_views(
         _STATE_BY_SLICE
-        + """ SELECT batch_id, tag, tone, "count", score FROM state WHERE (batch_id, tag) IN (SELECT b, tag FROM batches)""",
+        + """ SELECT CAST(batch_id AS INTEGER) AS batch_id, tag, tone, "count", score FROM state WHERE (batch_id, tag) IN (SELECT b, tag FROM batches)""",
         "tag_tones",
     )
 )
