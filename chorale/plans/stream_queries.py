@@ -18,9 +18,11 @@ from chorale.functions.messages import midnight
 from chorale.operators import rows
 from chorale.operators import tagstate as tg
 from chorale.operators import throttle as th
+from chorale.operators import tones
 from chorale.plans import views
 from chorale.plans.registry import query
 from chorale.plans.views import with_views
+from chorale.schemas import TONES
 from chorale.session import scratch_path, settings
 from chorale.sources import streams
 from chorale.streaming import pipelines as pl
@@ -243,6 +245,33 @@ def captured_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.captured(spark, out, views.table(spark, sf_dir, "events").schema)
 
 
+@query(
+    """WITH seen AS (
+        SELECT CASE WHEN event_id % 4 = 0 THEN CAST(0 AS DOUBLE) ELSE value END AS anger, length(event_type) * 10 AS joy
+        FROM events WHERE event_id % 7 <> 0)
+    SELECT emotion, n FROM (
+        SELECT 'Anger' AS emotion, count(*) FILTER (WHERE anger > 60) AS n FROM seen
+        UNION ALL SELECT 'Joy', count(*) FILTER (WHERE joy > 60) FROM seen
+        UNION ALL SELECT unnest(["""
+    + ", ".join(f"'{t}'" for t in TONES if t not in ("Anger", "Joy"))
+    + "]), 0)"
+)
+def captured_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON messages decoded, admitted, scored and captured, then reported on."""
+    out, checkpoint = scratch_path(spark, "capture"), scratch_path(spark, "checkpoint")
+    scores = F.create_map(
+        F.lit("anger"), F.col("long"), F.lit("joy"), F.length("text") * F.lit(10.0)
+    )
+
+    def build(events: DataFrame) -> DataStreamWriter:
+        messages = views.event_messages(spark, sf_dir, events)
+        posts = pl.scored_posts(messages, scores)
+        return pl.capture(pl.scored_table(posts), out, checkpoint)
+
+    replay(spark, sf_dir, build)
+    return tones.score_distribution(sinks.captured(spark, out))
+
+
 @query(
     f"""WITH RECURSIVE ev AS (
         SELECT user_id AS key, epoch_us(ts) // 1000 AS ms, min(event_id) AS message_id FROM events GROUP BY 1, 2),

@@ -198,9 +198,11 @@ def event_posts(spark: SparkSession, sf_dir: str, events: DataFrame | None = Non
     )
 
 
-def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_messages(
+    spark: SparkSession, sf_dir: str, events: DataFrame | None = None
+) -> DataFrame:
     """Events as JSON topic messages, some with gaps and some broken."""
-    e = table(spark, sf_dir, "events")
+    e = table(spark, sf_dir, "events") if events is None else events
     key = F.col("event_id")
     body = F.to_json(
         F.struct(

@@ -4,17 +4,40 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from chorale.functions.scores import score_columns
 from chorale.operators import tagstate as tg
 from chorale.operators import throttle as th
 from chorale.operators.rows import admit
+from chorale.schemas import POST_BASE
+from chorale.sources import streams
 from chorale.streaming.state import Snapshot
 from chorale.streaming.tags import TAG_STATE
 
 
+def scored_posts(
+    messages: DataFrame,
+    scores: Column,
+    keywords: Sequence[str] = ("",),
+    ignore_case: bool = False,
+) -> DataFrame:
+    """Topic messages decoded, admitted and scored, for streams and batches (STR-10).
+
+    ``scores`` is any expression over a post that gives ``map<tone, score>``; a
+    Python scorer only sees the posts that were admitted.
+    """
+    posts = streams.flat_posts(streams.decode_status(messages))
+    return admit(posts, keywords, ignore_case).withColumn("scores", scores)
+
+
+def scored_table(posts: DataFrame) -> DataFrame:
+    """Scored posts as the flat table with one column per tone (PRJ-2)."""
+    return posts.select(*POST_BASE.names, *score_columns(F.col("scores")))
+
+
 def capture(posts: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ()) -> DataStreamWriter:
     """Append every micro-batch to a growing table (SNK-3).
 

@@ -8,7 +8,8 @@ from chorale.plans import views
 from chorale.plans.catalog import QUERIES
 
 # These run their jobs when called and return a plain scan of what was written.
-EAGER = {"running_total", "stream_tag_state", "stored_tag_changes", "metric_messages", "captured_union"}
+EAGER = {"running_total", "stream_tag_state", "stored_tag_changes", "metric_messages", "captured_union",
+         "captured_scores"}
 
 
 def _plan(df):

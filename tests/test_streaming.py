@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from chorale import sinks
 from chorale.functions import render as rd
+from chorale.operators import enrich
 from chorale.operators import rows as rw
 from chorale.operators import tagstate as tg
 from chorale.plans import views
@@ -308,3 +309,37 @@ def test_combiner_hands_on_when_full(monkeypatch):
     batches = [pd.DataFrame({"tag": [f"#{i}" for i in range(j, j + 8)], "tone": "t", "score": 1.0}) for j in (0, 4, 8)]
     out = pd.concat(tags.combine(iter(batches)))
     assert out["n"].sum() == 24 and out.groupby("tag")["n"].sum()["#5"] == 2
+
+
+def test_messages_to_metrics_and_to_table(spark, tmp_path):
+    """The whole way of a topic message, with a Python scorer that can fail."""
+    src, out, table = (str(tmp_path / n) for n in ("src", "out", "table"))
+
+    def message(lang, text):
+        return (json.dumps({"user": {"name": "n", "userid": "u", "lang": lang}, "text": text}),)
+
+    _write(spark, src, [message("en", "#a joyful"), message("fr", "#a joyful"), ("broken",)], "value string")
+    time.sleep(0.05)
+    _write(spark, src, [message("en", "#a grim #b"), message("en", "#b FAIL")], "value string")
+
+    def score(text):
+        if "FAIL" in text:
+            raise ValueError(text)
+        return {"joy": 80.0} if "joyful" in text else {"joy": 10.0, "anger": 70.0}
+
+    def posts():
+        return pl.scored_posts(_source(spark, src, "value string"), enrich.score_column(score, F.col("text")))
+
+    StreamJob(
+        lambda: pl.running_metrics(posts(), str(tmp_path / "state"), str(tmp_path / "cp1"), pl.write_message_folder(out))
+    ).run_available()
+    got = {(r.batch_id, r.topic): r.value for r in spark.read.parquet(out).collect()}
+    assert got[(0, "total_tweets")] == '[["total_tweets",1]]' and got[(1, "total_tweets")] == '[["total_tweets",3]]'
+    assert got[(1, "topHashTags")] == '[["#a",2],["#b",1]]'
+    assert got[(1, "topHashTags.toneScores")] == '[["x","anger","joy"],["#a",35.0,25.0],["#b",35.0,5.0]]'
+
+    StreamJob(lambda: pl.capture(pl.scored_table(posts()), table, str(tmp_path / "cp2"))).run_available()
+    captured = sinks.captured(spark, table)
+    assert len(captured.columns) == 20
+    assert sorted((r.text, r.Joy, r.Anger) for r in captured.collect()) == [
+        ("#a grim #b", 10.0, 70.0), ("#a joyful", 80.0, 0.0), ("#b FAIL", 0.0, 0.0)]
