@@ -122,7 +122,7 @@ def throttle(
     two of them can both be forwarded. ``carry`` gives (key, sent_ms) of earlier
     runs. Join the result back on the message id for whole rows.
     """
-    block_ms = block_ms or max(600_000, 8 * gap_ms)
+    block_ms = block_ms or max(3_600_000, 8 * gap_ms)
     per_ms = (
         messages.select(
             F.col(key).alias("key"), millis(messages, ts).alias("ms"), F.col(message_id).alias("_id")
