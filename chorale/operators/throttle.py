@@ -32,8 +32,13 @@ def millis(df: DataFrame, ts: str) -> Column:
     return F.unix_millis(ts)
 
 
-def _summaries(gap: int, block_ms: int):
-    """Per block: (latest first-forwarded time, time of the block's last forward)."""
+def _summaries(gap: int, block_ms: int, carried: bool):
+    """Per block: (latest first-forwarded time, time of the block's last forward).
+
+    A chain that comes from an earlier block starts within the first gap of this
+    one, or at the first message beyond it. One carried over from an earlier run
+    may start anywhere.
+    """
 
     @F.pandas_udf("firsts array<bigint>, lasts array<bigint>")
     def summarise(blocks: pd.Series, times_of: pd.Series) -> pd.DataFrame:
@@ -48,9 +53,9 @@ def _summaries(gap: int, block_ms: int):
             for i in range(n - 1, -1, -1):
                 if after[i] < n:
                     last[i] = last[after[i]]
-            # A chain entering from an earlier block starts within the first gap
-            # of this one, or at the first message beyond it.
-            reach = min(n, np.searchsorted(times, block * block_ms + gap, side="right") + 1)
+            reach = n
+            if not carried:
+                reach = min(n, np.searchsorted(times, block * block_ms + gap, side="right") + 1)
             firsts, lasts = times[:reach], last[:reach]
             ends_run = np.append(lasts[1:] != lasts[:-1], True)
             out.append((firsts[ends_run], lasts[ends_run]))
@@ -138,7 +143,7 @@ def throttle(
         .withColumn("times", F.transform("rows", lambda r: r["ms"]))
     )
     summaries = blocks.select(
-        "key", "block", _summaries(gap_ms, block_ms)("block", "times").alias("s")
+        "key", "block", _summaries(gap_ms, block_ms, carry is not None)("block", "times").alias("s")
     ).select("key", "block", "s.*")
     chains = (
         summaries.groupBy("key")

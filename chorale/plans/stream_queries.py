@@ -272,20 +272,36 @@ def captured_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tones.score_distribution(sinks.captured(spark, out))
 
 
-@query(
-    f"""WITH RECURSIVE ev AS (
+_THROTTLED = f"""WITH RECURSIVE ev AS (
         SELECT user_id AS key, epoch_us(ts) // 1000 AS ms, min(event_id) AS message_id FROM events GROUP BY 1, 2),
     sent AS (
         SELECT key, min(ms) AS ms FROM ev GROUP BY key
         UNION ALL
         SELECT ev.key, min(ev.ms) FROM sent JOIN ev ON ev.key = sent.key AND ev.ms > sent.ms + {GAP_MS} GROUP BY ev.key)
     SELECT sent.key, sent.ms, ev.message_id FROM sent JOIN ev ON ev.key = sent.key AND ev.ms = sent.ms"""
-)
+
+
+@query(_THROTTLED)
 def throttle_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = views.table(spark, sf_dir, "events")
     return th.throttle(events, "user_id", "ts", "event_id", gap_ms=GAP_MS)
 
 
+@query(_THROTTLED)
+def throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same messages forwarded by the streaming job, slice by slice."""
+    out, state, checkpoint = (scratch_path(spark, n) for n in ("sent", "state", "checkpoint"))
+    publish = pl.write_message_folder(out)
+    replay(
+        spark,
+        sf_dir,
+        lambda events: pl.throttled(
+            events, "user_id", "ts", "event_id", state, checkpoint, publish, gap_ms=GAP_MS
+        ),
+    )
+    return spark.read.parquet(out).select("key", "ms", "message_id")
+
+
 @query(
     with_views(
         """SELECT 'tweets' AS channel, count(*) AS n, sum(length(text)) :: BIGINT AS chars FROM event_posts""",

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chorale import sinks
 from chorale.functions import text as tx
 from chorale.operators import enrich, numbers, profiles, rows, tags, tones
 from chorale.plans import views
 from chorale.plans.registry import query
 from chorale.plans.views import with_views
-from chorale.schemas import FACTORS, TONES
+from chorale.schemas import DOCUMENT, FACTORS, TONES
+from chorale.session import scratch_path
 from chorale.sources.tables import spread
 
 KEYWORDS = ["With", "there"]
@@ -109,6 +111,32 @@ def flatten_tones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tones.flatten_payload(views.payload_posts(spark, sf_dir))
 
 
+@query(
+    with_views(
+        """SELECT p.author, p.date, p.lang AS language, p.text, p.lat, p.long, e.embedding IS NOT NULL AS has_tones,
+                  CASE WHEN e.embedding IS NULL THEN 0 ELSE 12 END AS n_tones
+           FROM posts p LEFT JOIN embeddings e ON p.doc_id = e.vec_id""",
+        "posts",
+    )
+)
+def stored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts written as nested JSON documents and read back."""
+    posts = views.posts(spark, sf_dir).join(views.payload_posts(spark, sf_dir), "doc_id")
+    path = scratch_path(spark, "documents")
+    sinks.write_documents(posts.withColumn("sentiment", F.col("payload.document_tone")), path)
+    tones_in = F.flatten(F.transform("sentiment.tone_categories", lambda c: c["tones"]))
+    return spark.read.schema(DOCUMENT).json(path).select(
+        "author",
+        "date",
+        "language",
+        "text",
+        "geo.lat",
+        "geo.long",
+        F.col("sentiment").isNotNull().alias("has_tones"),
+        F.coalesce(F.size(tones_in), F.lit(0)).alias("n_tones"),
+    )
+
+
 _TAGS = """tag_counts AS (
     SELECT tag, count(*) AS n
     FROM (SELECT unnest(regexp_split_to_array(text, '\\s')) AS tag FROM posts)

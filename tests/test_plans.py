@@ -9,7 +9,7 @@ from chorale.plans.catalog import QUERIES
 
 # These run their jobs when called and return a plain scan of what was written.
 EAGER = {"running_total", "stream_tag_state", "stored_tag_changes", "metric_messages", "captured_union",
-         "captured_scores"}
+         "captured_scores", "throttle_stream", "stored_documents"}
 
 
 def _plan(df):

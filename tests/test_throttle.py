@@ -56,6 +56,22 @@ def test_two_runs_with_carry_equal_one(spark):
     assert merged == _brute(events, 200)[1]
 
 
+def test_carry_inside_a_block_and_late_messages(spark):
+    rng = random.Random(11)
+    events = [(f"k{rng.randrange(3)}", rng.randrange(0, 9000), i) for i in range(900)]
+    # Runs split inside a block, and some early messages arrive with the second run.
+    early = [e for e in events if e[1] < 4321 and e[2] % 5]
+    late = [e for e in events if e not in early]
+    for block in (100, 700, 5000, 100_000):
+        first = th.throttle(_frame(spark, early), "key", "ts", "id", 200, block_ms=block)
+        sent, last = _brute(early, 200)
+        assert sorted(tuple(r) for r in first.collect()) == sent
+        second = th.throttle(
+            _frame(spark, late), "key", "ts", "id", 200, carry=th.last_sent(first), block_ms=block
+        )
+        assert sorted(tuple(r) for r in second.collect()) == _brute(late, 200, last)[0], block
+
+
 def test_wall_clock_millis(spark):
     df = spark.sql("select timestamp_ntz'2024-03-31 02:30:00.123999' a, timestamp'2024-03-31 02:30:00.123999' b")
     row = df.select(th.millis(df, "a").alias("a"), th.millis(df, "b").alias("b")).first()
