@@ -39,7 +39,7 @@ def label_names(groups: Sequence[Sequence[str]]) -> list[str]:
 
 
 def message_polarity(
-    messages: DataFrame, sentiments: DataFrame, neutral_as: int = -1
+    messages: DataFrame, sentiments: DataFrame, neutral_as: int = -1, strands: int = 1
 ) -> DataFrame:
     """Messages with their mean polarity and its label (JOIN-1/2, AGG-10).
 
@@ -47,6 +47,10 @@ def message_polarity(
     repeat all of its records alike, so the means equal those of a join before
     the grouping, and the shuffle carries one row per message and map task.
     Messages without records drop out.
+
+    Message ids are taken to be unique. Where one may be repeated very often,
+    ``strands`` splits its messages over so many tasks and repeats the (small)
+    means for each; AQE cannot, as the means are grouped in the same stage.
     """
     means = (
         sentiments.groupBy("MESSAGE_ID")
@@ -57,7 +61,11 @@ def message_polarity(
         )
         .withColumn("SENTIMENT", ms.polarity_label(F.col("SENTIMENT_POLARITY")))
     )
-    return messages.join(means, "MESSAGE_ID")
+    if strands == 1:
+        return messages.join(means, "MESSAGE_ID")
+    split = messages.withColumn("_strand", F.spark_partition_id() % strands)
+    each = F.explode(F.sequence(F.lit(0), F.lit(strands - 1))).alias("_strand")
+    return split.join(means.select("*", each), ["MESSAGE_ID", "_strand"]).drop("_strand")
 
 
 def clean_messages(joined: DataFrame) -> DataFrame:

@@ -24,6 +24,20 @@ def daily_totals(daily: DataFrame) -> DataFrame:
     return daily.groupBy("POSTING_TIME").agg(F.sum("NUM_TWEETS").alias("NUM_TWEETS"))
 
 
+def daily_rollup(df: DataFrame) -> DataFrame:
+    """Daily breakdown and daily totals in one grouping (AGG-14 with AGG-15).
+
+    Total rows have ``IS_TOTAL``; it tells them from rows of a missing sentiment.
+    """
+    return (
+        df.rollup("POSTING_TIME", "SENTIMENT")
+        .agg(F.count("MESSAGE_BODY").alias("NUM_TWEETS"), F.grouping_id().alias("_level"))
+        .where(F.col("_level") < 3)
+        .withColumn("IS_TOTAL", F.col("_level") == 1)
+        .drop("_level")
+    )
+
+
 def daily_filled(df: DataFrame, series: Sequence[str | None] = SERIES) -> DataFrame:
     """Every sentiment on every day present, 0 where it did not occur (JOIN-4).
 

@@ -111,6 +111,18 @@ def daily_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return timelines.daily_totals(timelines.daily_sentiment(_cleaned(spark, sf_dir)))
 
 
+@query(
+    with_views(
+        f"""SELECT "POSTING_TIME", "SENTIMENT", count("MESSAGE_BODY") AS "NUM_TWEETS", FALSE AS "IS_TOTAL"
+            FROM cleaned GROUP BY 1, 2
+            UNION ALL SELECT "POSTING_TIME", NULL, "NUM_TWEETS", TRUE FROM ({_DAILY})""",
+        "cleaned",
+    )
+)
+def daily_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return timelines.daily_rollup(_cleaned(spark, sf_dir))
+
+
 @query(
     with_views(
         """, named AS (SELECT "POSTING_TIME", coalesce("SENTIMENT", 'NONE') AS "SENTIMENT", "MESSAGE_BODY" FROM cleaned),

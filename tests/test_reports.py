@@ -32,6 +32,9 @@ def test_polarity_keeps_repeated_messages_like_a_join_first_plan(spark):
     expected = sorted(tuple(r) for r in messages.join(first, "MESSAGE_ID").select("n", "p").collect())
     ours = mentions.message_polarity(messages, records).select("n", "SENTIMENT_POLARITY").collect()
     assert sorted(tuple(r) for r in ours) == expected
+    split = mentions.message_polarity(messages.repartition(4), records, strands=3)
+    assert sorted(tuple(r) for r in split.select("n", "SENTIMENT_POLARITY").collect()) == expected
+    assert split.columns == ["MESSAGE_ID", "n", "SENTIMENT_POLARITY", "SENTIMENT"]
 
 
 def test_clean_up(spark):
@@ -156,6 +159,12 @@ def test_daily_fill_equals_join_with_spine(spark):
         assert sorted(map(tuple, joined)) == sorted(map(tuple, direct))
 
 
+def test_rollup_tells_totals_from_missing_sentiment(spark):
+    out = {(r.POSTING_TIME, r.SENTIMENT, r.IS_TOTAL): r.NUM_TWEETS for r in timelines.daily_rollup(_cleaned(spark, ROWS)).collect()}
+    assert out[(D3, None, False)] == 1 and out[(D3, None, True)] == 2 and out[(D1, "POSITIVE", False)] == 1
+    assert sum(n for (_, _, total), n in out.items() if total) == len(ROWS)
+
+
 def test_label_timelines(spark):
     flags = _flags(spark)
     daily = sorted(tuple(r) for r in timelines.label_daily(flags, NAMES).collect())
