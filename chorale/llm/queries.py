@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chorale.llm import byte_bpe, sharding, url_filter
+from chorale.llm import byte_bpe, html_text, mixing, sharding, url_filter
 from chorale.llm.common import table
 
 QUERIES = {}
@@ -14,6 +14,11 @@ def query(run):
     return run
 
 
+@query
+def op2_main_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_shards(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
@@ -27,3 +32,8 @@ def op7_url_filter(spark, sf_dir):
 @query
 def op8_byte_bpe(spark, sf_dir):
     return byte_bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_mixture(spark, sf_dir):
+    return mixing.mixed_sizes(table(spark, sf_dir, "documents"))

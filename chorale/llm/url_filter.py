@@ -8,7 +8,7 @@ functions, and the weights reach the rows as one constant array.
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,13 +99,17 @@ def labelled(spark: SparkSession, bad=BAD_HOSTS, good=GOOD_HOSTS) -> DataFrame:
 
 
 def fit(table: DataFrame, strength: float = 0.01) -> tuple[list[float], float]:
-    """Weights by bucket, last the intercept, of rows with host, path and label (1: block)."""
-    buckets = gram_buckets(signal(F.col("host"), F.col("path")))
-    present = F.array_distinct(F.col("buckets"))
-    features = F.transform(
-        F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda k: F.array_contains(present, k).cast("double")
-    )
-    data = table.select("label", buckets.alias("buckets")).select("label", array_to_vector(features).alias("features"))
+    """Weights by bucket and the intercept, from a small table of host, path and label (1: block).
+
+    The table is hand-labelled and as large as a person makes it, so its sparse rows may
+    pass through the driver once.
+    """
+    buckets = F.array_sort(F.array_distinct(gram_buckets(signal(F.col("host"), F.col("path")))))
+    rows = [
+        (r["label"], Vectors.sparse(BUCKETS, r["buckets"], [1.0] * len(r["buckets"])))
+        for r in table.select("label", buckets.alias("buckets")).collect()
+    ]
+    data = table.sparkSession.createDataFrame(rows, ["label", "features"]).coalesce(1)
     model = LogisticRegression(regParam=strength, maxIter=40, standardization=False).fit(data)
     return [float(x) for x in model.coefficients.toArray()], float(model.intercept)
 
@@ -113,7 +117,7 @@ def fit(table: DataFrame, strength: float = 0.01) -> tuple[list[float], float]:
 def probability(text: Column, weights: list[float], intercept: float) -> Column:
     """That a url is to be blocked: the logistic of the summed weights of its distinct buckets.
 
-    The scaled weights travel as one text constant, split once per task by constant folding.
+    The weights are one constant array; each n-gram looks its own up.
     """
     constant = F.array(*(F.lit(w) for w in weights))
     total = F.aggregate(
