@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chorale.llm import byte_bpe, html_text, mixing, sharding, url_filter
+from chorale.llm import byte_bpe, fingerprints, html_text, mixing, sharding, substring_dedup, url_filter
 from chorale.llm.common import table
 
 QUERIES = {}
@@ -14,6 +14,11 @@ def query(run):
     return run
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    return substring_dedup.digest(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_main_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
@@ -37,3 +42,8 @@ def op8_byte_bpe(spark, sf_dir):
 @query
 def op9_mixture(spark, sf_dir):
     return mixing.mixed_sizes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
