@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chorale.llm import byte_bpe, fingerprints, html_text, mixing, sharding, substring_dedup, url_filter
+from chorale.llm import byte_bpe, fingerprints, html_text, jaccard_join, mixing, sharding, substring_dedup, url_filter
 from chorale.llm.common import table
 
 QUERIES = {}
@@ -24,6 +24,11 @@ def op2_main_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_jaccard_join(spark, sf_dir):
+    return jaccard_join.similar(table(spark, sf_dir, "documents"))
+
+
 @query
 def op5_shards(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
