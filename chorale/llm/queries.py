@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from chorale.llm import byte_bpe, fingerprints, html_text, jaccard_join, mixing, sharding, substring_dedup, url_filter
+from chorale.llm import ann, byte_bpe, fingerprints, html_text, jaccard_join, mixing, sharding, substring_dedup, toxicity, url_filter
 from chorale.llm.common import table
 
 QUERIES = {}
@@ -29,11 +29,22 @@ def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.similar(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_nearest(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, rows.where("vec_id % 20 = 0"))
+
+
 @query
 def op5_shards(spark, sf_dir):
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_toxicity(spark, sf_dir):
+    return toxicity.severities(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"))

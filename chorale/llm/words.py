@@ -45,7 +45,7 @@ _UP = _powers(_MULTIPLY, BLOCK)
 _DOWN = _powers(pow(_MULTIPLY, -1, 1 << 64), BLOCK)
 
 
-def _block_ends(data: np.ndarray, marks: np.ndarray) -> list[int]:
+def _block_ends(data: np.ndarray, marks: np.ndarray, between: np.ndarray = SPACE) -> list[int]:
     """Where blocks end: at a text's end, else at white space, never inside a word."""
     ends, at, total = [], 0, int(marks[-1])
     while at < total:
@@ -55,25 +55,29 @@ def _block_ends(data: np.ndarray, marks: np.ndarray) -> list[int]:
             to = text_end
         else:
             stop = int(marks[np.searchsorted(marks, at, "right")])
-            while to < stop and not SPACE[data[to]]:
+            while to < stop and not between[data[to]]:
                 to += 1
         ends.append(to)
         at = to
     return ends
 
 
-def word_hashes(column: pa.Array, lower: bool = False):
+def word_hashes(
+    column: pa.Array, lower: bool = False, between: np.ndarray = SPACE, prefixes: tuple[int, ...] = ()
+):
     """Of all texts: word starts, word ends, 64-bit hashes, and each text's first word.
 
-    ``lower`` lower-cases A-Z first. The last array has one entry more than texts.
+    ``lower`` lower-cases A-Z first; ``between`` says which bytes part words. With
+    ``prefixes`` the hashes have a row for the words and one for the first so many bytes
+    of each (0 for a shorter word). The last array has one entry more than texts.
     """
     data, marks = utf8(column)
     if lower:
         data = LOWER[data]
     starts, ends, hashes, at = [], [], [], 0
-    for to in _block_ends(data, marks):
+    for to in _block_ends(data, marks, between):
         part = data[at:to]
-        inside = ~SPACE[part]
+        inside = ~between[part]
         first, last = inside.copy(), inside.copy()
         first[1:] &= ~inside[:-1]
         last[:-1] &= ~inside[1:]
@@ -88,11 +92,21 @@ def word_hashes(column: pa.Array, lower: bool = False):
         np.cumsum(_BYTE[part] * up[: len(part)], out=sums[1:])
         starts.append(s + at)
         ends.append(e + at)
-        hashes.append(mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64)))
+        whole = mix((sums[e] - sums[s]) * down[s] + (e - s).astype(np.uint64))
+        if prefixes:
+            rows = [whole]
+            for n in prefixes:
+                short = mix((sums[np.minimum(s + n, e)] - sums[s]) * down[s] + U(n << 32))
+                short[e - s < n] = 0
+                rows.append(short)
+            whole = np.stack(rows)
+        hashes.append(whole)
         at = to
-    join = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
-    starts = join(starts, np.int64)
-    return starts, join(ends, np.int64), join(hashes, np.uint64), np.searchsorted(starts, marks, "left")
+    if not starts:
+        empty = np.zeros(0, np.int64)
+        return empty, empty, np.zeros((1 + len(prefixes), 0) if prefixes else 0, np.uint64), np.zeros(len(marks), np.int64)
+    starts = np.concatenate(starts)
+    return starts, np.concatenate(ends), np.concatenate(hashes, axis=-1), np.searchsorted(starts, marks, "left")
 
 
 def grams(words: np.ndarray, n: int) -> np.ndarray:
