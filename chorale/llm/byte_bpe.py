@@ -260,17 +260,19 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     return both.select(*(F.col(f"k{i}").alias(c) for i, c in enumerate(keep)), "ids")
 
 
-def _digest(path: str):
+def _digest(path: str, with_ids: bool):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         ids = batch.column("ids").to_pylist()
-        names = [c for c in batch.schema.names if c != "ids"]
-        return pa.RecordBatch.from_arrays(
-            [batch.column(c) for c in names]
-            + [pa.array([len(x) // 4 for x in ids], pa.int64()),
-               pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-               pa.array([hashlib.sha256(decode(x, path)).hexdigest() for x in ids])],
-            names=[*names, "n_tokens", "ids_sha256", "decoded_sha256"],
-        )
+        columns = {c: batch.column(c) for c in batch.schema.names if c != "ids"}
+        columns["n_tokens"] = pa.array([len(x) // 4 for x in ids], pa.int64())
+        if with_ids:
+            flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
+            ends = np.cumsum([0, *(len(x) // 4 for x in ids)]).astype(np.int32)
+            columns["tokens"] = pa.ListArray.from_arrays(pa.array(ends), flat)
+        else:
+            columns["ids_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string())
+        columns["decoded_sha256"] = pa.array([hashlib.sha256(decode(x, path)).hexdigest() for x in ids], pa.string())
+        return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return per_batch(work)
 
@@ -279,5 +281,13 @@ def round_trip(docs: DataFrame, path: str = RANKS) -> DataFrame:
     """doc_id, number of tokens, digests of the ids and of the bytes they decode to."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     return encode(docs, path=path).mapInArrow(
-        _digest(path), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+        _digest(path, False), f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+    )
+
+
+def tokens(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), path: str = RANKS) -> DataFrame:
+    """Columns of ``keep``, n_tokens, tokens and the digest of the bytes they decode to."""
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep)
+    return encode(docs, keep=keep, path=path).mapInArrow(
+        _digest(path, True), f"{kinds}, n_tokens bigint, tokens array<int>, decoded_sha256 string"
     )
