@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from chorale.llm.common import per_batch, prepared, text_column
 
 FEED = 1 << 16  # characters given to the parser at a time
+APART = 1.0  # least distance of the logarithms of two clusters of ratios
 SPREAD = 1.5  # standard deviation of the smoothing, in lines
 
 BLOCKS = frozenset(
@@ -64,7 +65,7 @@ def unwanted(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
 
 
 class Lines(HTMLParser):
-    """Lines of a page: text, number of tags, whether wanted, and the article or main they lie in."""
+    """Lines of a page outside unwanted elements: text, number of tags, the article or main they lie in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
@@ -73,13 +74,15 @@ class Lines(HTMLParser):
         self.regions: list[str] = ["page"]
         self.parts: list[str] = []
         self.tags = 0
-        self.lines: list[tuple[str, int, bool, int]] = []
+        self.lines: list[tuple[str, int, int]] = []
 
     def cut(self) -> None:
         words = "".join(self.parts).split()
-        if words or self.tags:
-            self.lines.append((" ".join(words), self.tags, not self.out, self.region))
-        self.parts, self.tags = [], 0
+        # Tags without text count to the line that follows.
+        if words:
+            self.lines.append((" ".join(words), self.tags, self.region))
+            self.tags = 0
+        self.parts = []
 
     def handle_starttag(self, tag, attrs) -> None:
         if tag in BLOCKS:
@@ -126,7 +129,8 @@ class Lines(HTMLParser):
                 return
 
     def handle_data(self, data) -> None:
-        self.parts.append(data)
+        if not self.out:
+            self.parts.append(data)
 
     def close(self) -> None:
         super().close()
@@ -140,7 +144,11 @@ def smoothed(ratios: np.ndarray, spread: float = SPREAD) -> np.ndarray:
 
 
 def threshold(values: np.ndarray) -> float:
-    """Half-way between the centres of two clusters of the values (their logarithms)."""
+    """Half-way between the centres of two clusters of the values (their logarithms).
+
+    Values that do not fall apart, with centres less than APART from each other, are all
+    content: 0.
+    """
     x = np.log1p(values)
     low, high = float(x.min()), float(x.max())
     for _ in range(30):
@@ -151,7 +159,7 @@ def threshold(values: np.ndarray) -> float:
         if new == (low, high):
             break
         low, high = new
-    return float(np.expm1((low + high) / 2))
+    return float(np.expm1((low + high) / 2)) if high - low >= APART else 0.0
 
 
 def main_text(html: str) -> str:
@@ -161,24 +169,19 @@ def main_text(html: str) -> str:
         parser.feed(html[at : at + FEED])
     parser.close()
     lines = parser.lines
-    wanted = np.array([bool(text) and good for text, _, good, _ in lines], bool)
-    if not wanted.any():
+    if not lines:
         return ""
-    ratios = np.array([len(text) / max(1, tags) if w else 0.0 for (text, tags, *_), w in zip(lines, wanted)])
-    smooth = smoothed(ratios)
-    content = wanted & (smooth >= threshold(smooth))
+    smooth = smoothed(np.array([len(text) / max(1, tags) for text, tags, _ in lines]))
+    content = smooth >= threshold(smooth)
     region = np.array([r for *_, r in lines])
     for kind in ("article", "main"):
-        named = [k for k, name in enumerate(parser.regions) if name == kind]
-        inside = np.isin(region, named) & wanted
+        inside = np.isin(region, [k for k, name in enumerate(parser.regions) if name == kind])
         if inside.any():
-            chosen = inside & np.isin(region, np.unique(region[inside & content])) if (inside & content).any() else inside
+            chosen = inside & np.isin(region, region[inside & content]) if (inside & content).any() else inside
             return " ".join(lines[k][0] for k in np.flatnonzero(chosen))
-    if not content.any():
-        content = wanted
     # Lines between content lines belong to the same region.
     first, last = np.flatnonzero(content)[[0, -1]]
-    return " ".join(lines[k][0] for k in range(first, last + 1) if wanted[k])
+    return " ".join(text for text, *_ in lines[first : last + 1])
 
 
 def _work(batch: pa.RecordBatch) -> pa.RecordBatch:

@@ -85,8 +85,9 @@ def flight(p: np.ndarray, sizes: np.ndarray, draw) -> list[int]:
 def land(p: np.ndarray, sizes: np.ndarray, left: list[int], due: float) -> None:
     """Settle the last two on the choice whose words are nearest what is due.
 
-    Two large documents may leave a gap of half a document. As long as taking or leaving
-    one more document brings the block's words nearer to ``due``, the best one is.
+    Two large documents may leave a gap of half a document. The block's others close it: from
+    the largest on, each that brings the block's words nearer to ``due`` when it is taken or
+    left instead, is.
     """
     before = sum(p[x] * sizes[x] for x in left)
     best = min(
@@ -95,13 +96,11 @@ def land(p: np.ndarray, sizes: np.ndarray, left: list[int], due: float) -> None:
     )
     for n, x in enumerate(left):
         p[x] = best >> n & 1
-    for _ in range(8):
-        gap = due - float(p @ sizes)
-        gain = np.where(p > 0.5, -sizes, sizes)
-        k = int(np.argmin(np.abs(gap - gain)))
-        if abs(gap - gain[k]) >= abs(gap):
-            return
-        p[k] = 1 - p[k]
+    gap = due - float(p @ sizes)
+    for k in np.argsort(-sizes, kind="stable").tolist():
+        gain = -sizes[k] if p[k] else sizes[k]
+        if abs(gap - gain) < abs(gap):
+            p[k], gap = 1 - p[k], gap - gain
 
 
 def _block(frame: pd.DataFrame) -> pd.DataFrame:

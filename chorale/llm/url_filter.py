@@ -7,6 +7,7 @@ functions, and the weights reach the rows as one constant array.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,8 +15,8 @@ from pyspark.sql import functions as F
 
 from chorale.llm.common import prepared
 
-BUCKETS = 1024
-WIDTHS = (3, 4)
+BUCKETS = 4096
+WIDTHS = (3, 4, 5)
 BLOCK_AT = 0.5
 
 # Verdict, host and path beginning. Fixed values of the task.
@@ -27,26 +28,29 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
-# The labelled table: hosts of either kind, each seen with several paths.
-BAD_HOSTS = (
-    "casino-royal.example.org", "big-casino.example.net", "win-casino-now.example.com", "casinowin24.example.org",
-    "cheap-meds.example.net", "pills-online.example.org", "buy-cheap-pills.example.com", "pharma-pills.example.net",
-    "free-spins.example.com", "sport-bets.example.org", "bets-free-now.example.net", "freebets77.example.com",
-    "adult-cams.example.net", "xxx-adult.example.org", "adult-videos-x.example.com", "hot-adult.example.net",
-    "spam-mail.example.com", "link-farm.example.org", "seo-spam-links.example.net", "farm-of-spam.example.com",
-    "ads-server.example.net", "click-track.example.org", "track-ads.example.com", "ads.popup-track.example.net",
-    "lottery-win.example.org", "payday-loans.example.com", "replica-watches.example.net", "warez-crack.example.org",
-)
-GOOD_HOSTS = (
-    "daily-news.example.org", "city-library.example.net", "weather.example.com", "recipes.example.org",
-    "open-maps.example.net", "museum.example.org", "science-today.example.com", "history.example.net",
-    "garden-club.example.org", "university.example.com", "learning.example.net", "translation.example.org",
-    "theatre.example.com", "nature-photos.example.net", "cooking-blog.example.org", "travel-notes.example.com",
-    "thread-art.example.net", "northern-line.example.org", "station-times.example.com", "relation-graph.example.net",
-    "mathematics.example.org", "health-advice.example.com", "the-other-paper.example.net", "whether-or-not.example.org",
-    "green-energy.example.com", "tidal-charts.example.net", "handwriting.example.org", "estate-archive.example.com",
-)
-PATHS = ("/", "/en/1", "/de/23/", "/fr/456.html", "/es/7890", "/index.html")
+# Words the labelled table's host names are made of. A bad name has a word of the first
+# list, with one of the first or second; a good name has two of the third.
+BAD_WORDS = "casino pills bets adult spam ads xxx loans lottery warez meds poker replica viagra".split()
+WITH_BAD = "cheap free win track farm x online now best big hot server royal 24 popup".split()
+GOOD_WORDS = (
+    "news library weather recipes maps museum science history garden university learning translation theatre photos "
+    "cooking travel thread northern station relation mathematics health other whether energy tidal handwriting estate "
+    "archive nature mother reading water market school forum paper green city daily"
+).split()
+
+
+def names(bad=BAD_WORDS, good=GOOD_WORDS) -> tuple[list[str], list[str]]:
+    """Bad and good host names: pairs of words, joined in turn by a dash or nothing."""
+    pairs = [(a, b) for k, a in enumerate(bad) for b in [*WITH_BAD, *bad[:k]]]
+    pairs = [(b, a) if k % 3 == 1 else (a, b) for k, (a, b) in enumerate(pairs)]
+    fine = [(a, good[(k + step) % len(good)]) for k, a in enumerate(good) for step in (0, 1, 4, 9, 16, 25, 31, 37)]
+    join = lambda k, a, b: a if a == b else a + ("-" if k % 2 else "") + b
+    return [join(k, *p) for k, p in enumerate(pairs)], [join(k, *p) for k, p in enumerate(fine)]
+
+
+# What every host is seen with, so that it says nothing about the verdict.
+ENDINGS = (".example.com", ".example.net", ".example.org", ".com", ".net", ".org")
+PLACES = (("", "/"), ("www.", "/en/1"), ("m.", "/de/2/"), ("blog.", "/fr/3.html"), ("", "/es/4"), ("www.", "/index.html"))
 
 
 def parts(url: str) -> tuple[Column, Column]:
@@ -89,16 +93,23 @@ def gram_buckets(text: Column) -> Column:
 
 
 def signal(host: Column, path: Column) -> Column:
-    """The text the n-grams are taken from: marks show where the host begins and ends."""
-    return F.concat(F.lit("^"), host, F.lit("$"), path)
-
-
-def labelled(spark: SparkSession, bad=BAD_HOSTS, good=GOOD_HOSTS) -> DataFrame:
-    rows = [(host, path, float(kind)) for kind, hosts in ((1, bad), (0, good)) for host in hosts for path in PATHS]
+    """The text the n-grams are taken from: marks show where host and path begin; numbers in the path are one."""
+    return F.concat(F.lit("^"), host, F.lit("$"), F.regexp_replace(path, "[0-9]+", "0"))
+
+
+def labelled(spark: SparkSession, bad: list[str] | None = None, good: list[str] | None = None) -> DataFrame:
+    """host, path and label (1: block): every name with all endings, and all places in turn."""
+    every = names()
+    rows = []
+    for kind, hosts in ((1.0, every[0] if bad is None else bad), (0.0, every[1] if good is None else good)):
+        for k, name in enumerate(hosts):
+            for j, ending in enumerate(ENDINGS):
+                before, path = PLACES[(j + k) % len(PLACES)]
+                rows.append((before + name + ending, path, kind))
     return spark.createDataFrame(rows, "host string, path string, label double").coalesce(1)
 
 
-def fit(table: DataFrame, strength: float = 0.01) -> tuple[list[float], float]:
+def fit(table: DataFrame, strength: float = 0.001) -> tuple[list[float], float]:
     """Weights by bucket and the intercept, from a small table of host, path and label (1: block).
 
     The table is hand-labelled and as large as a person makes it, so its sparse rows may
@@ -119,7 +130,7 @@ def probability(text: Column, weights: list[float], intercept: float) -> Column:
 
     The weights are one constant array; each n-gram looks its own up.
     """
-    constant = F.array(*(F.lit(w) for w in weights))
+    constant = F.lit(np.array(weights, float))
     total = F.aggregate(
         F.array_distinct(gram_buckets(text)), F.lit(float(intercept)), lambda s, k: s + F.get(constant, k)
     )

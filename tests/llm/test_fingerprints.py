@@ -1,0 +1,91 @@
+import hashlib
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from chorale.llm import fingerprints as fp
+
+
+def order(rows):
+    """Rows going down the ids, null last; equal ids are few in the tests and have equal texts."""
+    return sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0)))
+
+
+def test_edited_texts_and_their_digests(documents):
+    draw = random.Random(1)
+    rows = [(k, "".join(draw.choice("ab é漢😀\n") for _ in range(draw.randrange(40)))) for k in draw.sample(range(900), 120)]
+    rows += [(1000, None), (1001, ""), (None, "null id")]
+    found = {r.doc_id: r for r in fp.compare_with_edits(documents(rows)).collect()}
+    down = order(rows)
+    for k, (i, text) in enumerate(down):
+        text, following = text or "", down[(k + 1) % len(down)][1] or ""
+        half = len(text) // 2
+        edited = text[: len(text) - half] + following[:half]
+        assert found[i].n_chars == len(text)
+        assert found[i].edited_sha256 == hashlib.sha256(edited.encode()).hexdigest()
+    assert len(found) == len(rows)
+
+
+def jaccard(a, b):
+    def s(t):
+        w = t.split()
+        return {tuple(w[k : k + 5]) for k in range(len(w) - 4)}
+
+    return len(s(a) & s(b)) / len(s(a) | s(b))
+
+
+def test_likeness_estimates_jaccard(spark):
+    draw = random.Random(2)
+    pairs = []
+    for _ in range(60):
+        n = draw.choice([60, 200, 800])
+        words = [f"w{draw.randrange(10**6)}" for _ in range(n)]
+        cut = draw.randrange(n // 5, n)
+        pairs.append((" ".join(words), " ".join(words[:cut] + [f"x{draw.randrange(10**6)}" for _ in range(n - cut)])))
+    df = spark.createDataFrame(pairs, "a string, b string").select(
+        "a", "b", fp.fingerprint(F.col("a")).alias("pa"), fp.fingerprint(F.col("b")).alias("pb")
+    ).select("a", "b", fp.likeness(F.col("pa"), F.col("pb")).alias("near"), "pa")
+    gaps = [r.near - jaccard(r.a, r.b) for r in df.collect()]
+    assert max(map(abs, gaps)) < 0.2 and abs(sum(gaps) / len(gaps)) < 0.03
+
+
+def test_equal_short_and_empty_texts(spark):
+    texts = ["a b c d e f", "a b  c\td e f", "a", "a", "", " ", "b", "a b c d"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select(fp.fingerprint(F.col("t")).alias("p")).collect()
+    p = [r.p for r in rows]
+    assert p[0] == p[1] and p[2] == p[3] and p[4] == p[5] == "" and len({p[0], p[2], p[6], p[7]}) == 4
+    assert all(len(x) == fp.BINS * fp.BITS // 4 for x in p if x)
+    near = spark.createDataFrame([(p[0], p[0]), ("", ""), ("", p[0]), (p[0], p[2])], "a string, b string").select(
+        fp.likeness(F.col("a"), F.col("b")).alias("n")
+    ).collect()
+    assert [r.n for r in near][:3] == [1.0, 1.0, 0.0] and near[3].n < 0.1
+
+
+def test_bins_by_brute_force(spark):
+    hashes = [random.Random(k).randrange(-(2**63), 2**63) for k in range(50)]
+    found = spark.createDataFrame([(hashes,)], "h array<bigint>").select(
+        fp.bin_minima(F.col("h")).alias("m")
+    ).select("m", fp.densified(F.col("m")).alias("d")).first()
+    least = {}
+    for h in sorted(hashes):
+        least.setdefault(h >> fp.BIN_SHIFT, h)
+    assert found.m == [least[b] for b in sorted(least)]
+    probes = fp._probes().reshape(fp.BINS, fp.BINS)
+    for j in range(fp.BINS):
+        b = j - fp.BINS // 2
+        assert found.d[j] == (least[b] if b in least else least[next(x for x in probes[j].tolist() if x in least)])
+
+
+def test_repeated_and_single_rows(documents):
+    rows = fp.compare_with_edits(documents([(1, "x y"), (1, "x y"), (2, "abcd")], extra=("n",))).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 1, 2]
+    one = fp.compare_with_edits(documents([(9, "abcdef")])).first()
+    assert one.edited_sha256 == hashlib.sha256(b"abcabc").hexdigest() and one.near_next == 1.0
+    assert fp.compare_with_edits(documents([])).count() == 0
+
+
+@pytest.mark.parametrize("node", ["Python", "Arrow", "Pandas", "CartesianProduct", "NestedLoop"])
+def test_plan_is_native(documents, node):
+    df = fp.compare_with_edits(documents([(1, "a b c d e f"), (2, "b")]))
+    assert node not in df._jdf.queryExecution().executedPlan().toString()
