@@ -23,19 +23,21 @@ def scored_only(posts: DataFrame, scores: str = "scores") -> DataFrame:
 def score_column(score: Callable[[str], Mapping[str, float] | None], text: Column) -> Column:
     """Scores of a user's own Python function, by Arrow batches (UDF-1).
 
-    A text on which the function fails has null scores and the job goes on.
-    Being row by row, it serves streams as well.
+    A struct of ``scores`` and ``error``: where the function fails on a text the scores are
+    null, the message is kept and the job goes on. Being row by row, it serves streams too.
     """
 
-    @F.pandas_udf("map<string,double>")
-    def run(texts: pd.Series) -> pd.Series:
+    @F.pandas_udf("scores map<string,double>, error string")
+    def run(texts: pd.Series) -> pd.DataFrame:
         def one(t):
             try:
-                return dict(score(t)) if t is not None else None
-            except Exception:
-                return None
+                return (dict(found) if t is not None and (found := score(t)) is not None else None), None
+            except Exception as problem:
+                return None, f"{type(problem).__name__}: {problem}"
 
-        return pd.Series([one(t) for t in texts], dtype=object)
+        rows = [one(t) for t in texts]
+        return pd.DataFrame({"scores": pd.Series([r[0] for r in rows], dtype=object),
+                             "error": pd.Series([r[1] for r in rows], dtype=object)})
 
     return run(text)
 
@@ -45,12 +47,14 @@ def lexicon_scores(posts: DataFrame, lexicon: DataFrame, key: str, text: str = "
 
     ``lexicon`` has (term, tone, weight). A lexicon Spark finds small enough to
     broadcast drops the other words where they are read, before any shuffle; a
-    larger one is joined by term, and AQE splits the partitions of common words.
+    larger one is joined by term. A term is a row per post, however often it occurs there:
+    the rows of a post are counted before the join, and the mean is weighed by the counts.
     """
-    words = posts.select(
-        key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))).alias("term")
+    words = (
+        posts.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))).alias("term"))
+        .groupBy(key, "term").agg(F.count("*").alias("times"))
     )
-    mean = F.avg("weight")
+    mean = F.sum(F.col("weight") * F.col("times")) / F.sum("times")
     return (
         words.join(lexicon, "term")
         .groupBy(key, "tone")

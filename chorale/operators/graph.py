@@ -39,20 +39,28 @@ def edges_from_rows(rows: DataFrame) -> DataFrame:
 
 
 def typed_vertices(vertices: DataFrame, kinds: Sequence[str] = VERTEX_TYPES) -> DataFrame:
-    """Vertices of a known type, as (id, node_type, properties) (FIL-12)."""
+    """Vertices of a known type, as (id, node_type, properties), one row per id (FIL-12)."""
     kind = F.coalesce(F.try_element_at("properties", F.lit("type")), F.lit(""))
-    return vertices.select("id", kind.alias("node_type"), "properties").where(
+    known = vertices.select("id", kind.alias("node_type"), "properties").where(
         F.col("node_type").isin(list(kinds))
     )
+    return once(known)
+
+
+def once(vertices: DataFrame) -> DataFrame:
+    """One row per id: of several the one whose properties, in order of keys, come first."""
+    rest = [c for c in vertices.columns if c != "id"]
+    first = F.min_by(F.struct(*rest), F.array_sort(F.map_entries("properties"))).alias("_v")
+    return vertices.groupBy("id").agg(first).select("id", "_v.*")
 
 
 def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with the properties of both ends (JOIN-3).
 
-    Two equi-joins on unique vertex ids; AQE splits the partitions of hub
+    Two equi-joins on vertex ids, made unique first; AQE splits the partitions of hub
     vertices. Edges with a missing end are left to :func:`dangling_edges`.
     """
-    ends = vertices.select("id", "properties")
+    ends = once(vertices.select("id", "properties"))
     source = ends.select(F.col("id").alias("src"), F.col("properties").alias("src_properties"))
     target = ends.select(F.col("id").alias("dst"), F.col("properties").alias("dst_properties"))
     return edges.join(source, "src").join(target, "dst").select(
@@ -62,7 +70,7 @@ def triplets(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 def dangling_edges(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Edges with an end that is no vertex, and which end it is (JOIN-6)."""
-    ids = vertices.select("id")
+    ids = vertices.select("id").distinct()
     source = ids.select(F.col("id").alias("src"), F.lit(True).alias("_src"))
     target = ids.select(F.col("id").alias("dst"), F.lit(True).alias("_dst"))
     marked = edges.join(source, "src", "left").join(target, "dst", "left")
@@ -86,8 +94,7 @@ def _ensure_vertex(name: str, vertex: Column, properties: Column) -> Column:
 
 def vertex_statements(vertices: DataFrame) -> DataFrame:
     """One create-if-absent statement per vertex (GRF-5)."""
-    once = vertices.dropDuplicates(["id"])
-    return once.select("id", _ensure_vertex("v", F.col("id"), F.col("properties")).alias("value"))
+    return once(vertices).select("id", _ensure_vertex("v", F.col("id"), F.col("properties")).alias("value"))
 
 
 def triplet_statements(triples: DataFrame) -> DataFrame:

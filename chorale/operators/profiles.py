@@ -23,17 +23,17 @@ def recent_per_user(
 def author_corpus(
     posts: DataFrame,
     order: str = "created_at",
-    n: int = 200,
     more_than: int = 100,
     user: str = "userid",
 ) -> DataFrame:
-    """ASCII copy of a user's latest posts in one text, by time (AGG-8, FIL-10).
+    """ASCII copy of all of a user's own posts in one text, by time (AGG-8, FIL-10).
 
-    A group holds at most n posts by the time it is put together, so no user is
-    too big for a task. Users with too few words drop out.
+    The text of a user is one value, so it has to fit in a task; to take the latest
+    posts only, put :func:`recent_per_user` in front. Reposts and replies are left out,
+    and users with too few words.
     """
-    recent = recent_per_user(posts, [F.desc(order), F.desc("text")], n, user)
-    parts = recent.select(user, order, tx.ascii_only(F.col("text")).alias("text"))
+    own = posts.where(~F.col("is_repost") & ~F.col("is_reply"))
+    parts = own.select(user, order, tx.ascii_only(F.col("text")).alias("text"))
     return (
         parts.groupBy(user)
         .agg(F.array_sort(F.collect_list(F.struct(order, "text"))).alias("_posts"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chorale.operators.mentions import by_label
@@ -74,6 +74,18 @@ def calendar(series: DataFrame, day: str = "POSTING_TIME") -> DataFrame:
     return days.select(F.col(day).cast(kind).alias(day))
 
 
+def calendar_filled(
+    df: DataFrame, wanted: Column, day: str = "POSTING_TIME", value: str = "NUM_TWEETS"
+) -> DataFrame:
+    """Number of wanted rows on each day from the first to the last of any row, 0 where there is none.
+
+    One grouping by day, with a conditional count, gives both the days' numbers and, from
+    that small result, the first and last day.
+    """
+    counts = df.groupBy(day).agg(F.count_if(wanted).alias(value))
+    return fill_gaps(calendar(counts, day), counts, day, value)
+
+
 def month_starts(series: DataFrame, day: str = "POSTING_TIME") -> DataFrame:
     """Rows on the first of a month with the axis label (FIL-15, SCL-8)."""
     return series.where(F.dayofmonth(day) == 1).withColumn(

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,42 +103,45 @@ def _data(properties: str, *skip: str):
     )
 
 
-@lru_cache(maxsize=8)
-def write_graphml(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """The graph of the tables as XML, written by Spark; folders of nodes and edges."""
+def _write_xml(df: DataFrame, tag: str) -> str:
+    """Rows as XML, written by Spark; the folder."""
+    path = scratch_path(df.sparkSession, f"graph-{tag}")
+    (
+        df.write.format("xml")
+        .option("rootTag", "graph")
+        .option("rowTag", tag)
+        .option("attributePrefix", "@")
+        .option("valueTag", "#VALUE")
+        .save(path)
+    )
+    return path
 
-    def write(df: DataFrame, tag: str) -> str:
-        path = scratch_path(spark, f"graph-{tag}")
-        (
-            df.write.format("xml")
-            .option("rootTag", "graph")
-            .option("rowTag", tag)
-            .option("attributePrefix", "@")
-            .option("valueTag", "#VALUE")
-            .save(path)
-        )
-        return path
 
+def write_nodes(spark: SparkSession, sf_dir: str) -> str:
     nodes = views.graph_vertices(spark, sf_dir).select(
         F.col("id").alias("@id"), _data("properties").alias("data")
     )
+    return _write_xml(nodes, "node")
+
+
+def write_edges(spark: SparkSession, sf_dir: str) -> str:
     edges = views.graph_edges(spark, sf_dir).select(
         F.element_at("properties", "id").cast("bigint").alias("@id"),
         F.col("src").alias("@source"),
         F.col("dst").alias("@target"),
         _data("properties", "id").alias("data"),
     )
-    return write(nodes, "node"), write(edges, "edge")
+    return _write_xml(edges, "edge")
 
 
 @query(_VERTICES)
 def xml_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nodes = tables.read_graph_nodes(spark, write_graphml(spark, sf_dir)[0])
+    nodes = tables.read_graph_nodes(spark, write_nodes(spark, sf_dir))
     return _as_text(graph.typed_vertices(graph.vertices_from_nodes(nodes)))
 
 
 @query(_EDGES)
 def xml_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_text(
-        graph.edges_from_rows(tables.read_graph_edges(spark, write_graphml(spark, sf_dir)[1]))
+        graph.edges_from_rows(tables.read_graph_edges(spark, write_edges(spark, sf_dir)))
     )

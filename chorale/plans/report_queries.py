@@ -158,11 +158,7 @@ def month_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 )
 def calendar_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = _cleaned(spark, sf_dir)
-    series = timelines.daily_totals(
-        timelines.daily_sentiment(cleaned.where(F.col("SENTIMENT") == "POSITIVE"))
-    )
-    return timelines.fill_gaps(timelines.calendar(cleaned), series)
+    return timelines.calendar_filled(_cleaned(spark, sf_dir), F.col("SENTIMENT") == "POSITIVE")
 
 
 @query(with_views('SELECT "LABEL", "POSTING_TIME", count(*) AS "COUNT" FROM labelled GROUP BY 1, 2', "labelled"))

@@ -7,7 +7,6 @@ arrive in slices of days so that every slice is a micro-batch.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -119,23 +118,22 @@ def replay(
     """
     path = scratch_path(spark, "events")
     events = views.table(spark, sf_dir, "events")
-    number = ((F.dayofmonth("ts") - 1) / 5).cast("int")
+    number = views.five_days(events)
+    # One row per five days of the table, in order of time.
+    pieces = sorted(r[0] for r in events.select(number).distinct().collect())
     job = StreamJob(lambda: build(streams.read_files(spark, path, events.schema)))
     last = -1
     # State is cut into this many parts for as long as its checkpoint lives.
     cores = str(spark.sparkContext.defaultParallelism)
     with settings(spark, {"spark.sql.shuffle.partitions": cores}):
-        for piece in range(7):
-            part = events.where(number == piece)
-            if not part.isEmpty():
-                part.write.mode("append").parquet(path)
-                last = job.run_available().query.lastProgress["batchId"]
+        for piece in pieces:
+            events.where(number.eqNullSafe(piece)).write.mode("append").parquet(path)
+            last = job.run_available().query.lastProgress["batchId"]
     return last
 
 
-@lru_cache(maxsize=8)
 def _metrics_run(spark: SparkSession, sf_dir: str) -> tuple[str, str, int]:
-    """Run the metrics job once; folders of its messages and state, last batch."""
+    """Run the metrics job; folders of its messages and state, last batch."""
     out, state, checkpoint = (scratch_path(spark, n) for n in ("messages", "state", "checkpoint"))
     last = replay(
         spark,

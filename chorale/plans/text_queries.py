@@ -13,7 +13,6 @@ from chorale.plans.registry import query
 from chorale.plans.views import with_views
 from chorale.schemas import DOCUMENT, FACTORS, TONES
 from chorale.session import scratch_path
-from chorale.sources.tables import spread
 
 KEYWORDS = ["With", "there"]
 
@@ -210,7 +209,7 @@ _STOP = ", ".join(f"('{w}')" for w in tx.STOP_WORDS)
     GROUP BY word ORDER BY n DESC, word LIMIT 10"""
 )
 def top_words(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tags.top_words(spread(views.table(spark, sf_dir, "documents").select("text")))
+    return tags.top_words(views.table(spark, sf_dir, "documents").select("text"))
 
 
 @query(
@@ -224,23 +223,32 @@ def author_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tones.author_averages(views.scored_posts(spark, sf_dir))
 
 
-@query(
-    """WITH own AS (
+_CORPUS = """WITH own AS (
         SELECT d.source AS userid, d.doc_id, regexp_replace(d.text, '[^\\x00-\\x7F]', '', 'g') AS part,
                row_number() OVER (PARTITION BY d.source ORDER BY d.doc_id DESC) AS rn
         FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
         WHERE coalesce(l.toxic, 0) <> 1 AND coalesce(l.quality, 1) <> 0),
     corpus AS (
         SELECT userid, count(*) AS n_posts, string_agg(part, chr(10) ORDER BY doc_id) AS text
-        FROM own WHERE rn <= 200 GROUP BY userid)
+        FROM own WHERE {} GROUP BY userid)
     SELECT userid, CAST(n_posts AS INTEGER) AS n_posts, text,
            CAST(len(regexp_extract_all(text, '\\w+')) AS INTEGER) AS n_words
     FROM corpus WHERE len(regexp_extract_all(text, '\\w+')) > 100"""
-)
+
+
+@query(_CORPUS.format("true"))
 def author_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.author_corpus(views.document_posts(spark, sf_dir))
 
 
+@query(_CORPUS.format("rn <= 200"))
+def recent_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of every author's latest 200 posts."""
+    posts = views.document_posts(spark, sf_dir)
+    recent = profiles.recent_per_user(posts, [F.desc("created_at"), F.desc("text")])
+    return profiles.author_corpus(recent)
+
+
 @query(
     """SELECT userid, created_at, l_orderkey, l_linenumber, l_partkey FROM (
         SELECT l_suppkey AS userid, l_shipdate AS created_at, l_orderkey, l_linenumber, l_partkey,
@@ -324,6 +332,6 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             ((F.length("term") % 5) / 4.0).alias("weight"),
         )
     )
-    documents = spread(views.table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = enrich.lexicon_scores(documents, lexicon, "doc_id")
     return scored.withColumn("score", F.round("score", 9))

@@ -35,6 +35,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def five_days(events: DataFrame):
+    """Number of the five days an event falls in, counted from the first date."""
+    first = events.agg(F.min(F.to_date("ts"))).scalar()
+    return F.floor(F.date_diff(F.to_date("ts"), first) / 5)
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as posts with a source tag and a language tag."""
     d = table(spark, sf_dir, "documents")
@@ -232,8 +238,14 @@ def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
             (F.col(key).cast("bigint") * 4 + code).alias("id"), F.create_map(*entries).alias("properties")
         )
 
+    # Every region comes a second time under a longer name: ids are not unique.
+    again = table(spark, sf_dir, "region").select(
+        (F.col("r_regionkey").cast("bigint") * 4).alias("id"),
+        F.create_map(F.lit("type"), F.lit("continent"), F.lit("desc"), F.concat("r_name", F.lit(" (old)"))).alias("properties"),
+    )
     return (
         kind("region", "r_regionkey", 0, "continent", desc="r_name")
+        .unionByName(again)
         .unionByName(kind("nation", "n_nationkey", 1, "country", desc="n_name"))
         .unionByName(kind("customer", "c_custkey", 2, "airport", desc="c_name", segment="c_mktsegment"))
         .unionByName(kind("supplier", "s_suppkey", 3, "version", desc="s_name"))
@@ -335,7 +347,8 @@ SQL = {
         SELECT event_id, ts, user_id, CASE WHEN event_type = 'error' THEN 'fr' ELSE 'en' END AS lang,
                '#' || event_type || ' # #u' || CAST(user_id % 10 AS VARCHAR) AS text,
                floor(value) AS anger, CAST(regexp_extract(props, '[0-9]+') AS DOUBLE) AS k,
-               CAST(ts AS DATE) AS day, (day(ts) - 1) // 5 AS slice
+               CAST(ts AS DATE) AS day,
+               dense_rank() OVER (ORDER BY date_diff('day', (SELECT min(CAST(ts AS DATE)) FROM events), CAST(ts AS DATE)) // 5) - 1 AS slice
         FROM events""",
     "tag_tones": """
         SELECT *, unnest(['#' || split_part(substr(text, 2), ' ', 1), '#' || split_part(text, '# #', 2)]) AS tag

@@ -17,16 +17,6 @@ def read_parquet(
     return reader.parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Even out a scan that has fewer partitions than the cluster has cores.
-
-    For heavy per-row work on a few unsplittable files. The scan of a large
-    table has partitions enough and is left as it is, without a shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def jdbc_options(
     url: str,
     table: str,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections import deque
+import threading
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,12 +31,14 @@ class StreamJob:
         return self.query is not None and self.query.isActive
 
     def start(self, stop_after: float | None = None) -> StreamJob:
-        """Start once; with ``stop_after`` seconds, wait that long and stop."""
+        """Start once; with ``stop_after`` seconds, wait that long and stop after the running batch."""
         if self.running:
             raise RuntimeError("the stream is already running; stop it first")
         self.query = self._build().trigger(processingTime=self._clock).start()
         if stop_after:
             self.query.awaitTermination(stop_after)
+            while self.running and self.query.status["isTriggerActive"]:
+                time.sleep(0.02)
             self.stop()
         return self
 
@@ -48,7 +51,7 @@ class StreamJob:
         return self
 
     def stop(self) -> bool:
-        """Stop after the current batch; False when nothing was running."""
+        """Stop now, in the middle of a batch too (a restart works it again); False when nothing was running."""
         if not self.running:
             return False
         self.query.stop()
@@ -56,25 +59,43 @@ class StreamJob:
 
 
 class ProgressLog(StreamingQueryListener):
-    """Lifecycle and batch rows of the session's queries (STR-8), latest ``keep``."""
+    """Lifecycle and batch rows of the session's queries, appended to a table (STR-8).
+
+    Rows wait until ``every`` of them are there, or :meth:`frame` asks for the table.
+    """
 
     SCHEMA = "query string, event string, batch_id bigint, rows bigint, error string"
 
-    def __init__(self, keep: int = 10_000):
-        self.rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, path: str, every: int = 100):
+        self._spark, self.path, self._every = spark, path, every
+        self._waiting: list[tuple] = []
+        self._lock = threading.Lock()
+
+    def _add(self, *row) -> None:
+        with self._lock:
+            self._waiting.append(row)
+        if len(self._waiting) >= self._every:
+            self.flush()
 
     def onQueryStarted(self, event) -> None:
-        self.rows.append((str(event.id), "started", None, None, None))
+        self._add(str(event.id), "started", None, None, None)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self.rows.append((str(p.id), "batch", p.batchId, p.numInputRows, None))
+        self._add(str(p.id), "batch", p.batchId, p.numInputRows, None)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self.rows.append((str(event.id), "stopped", None, None, event.exception))
+        self._add(str(event.id), "stopped", None, None, event.exception)
+
+    def flush(self) -> None:
+        with self._lock:
+            rows, self._waiting = self._waiting, []
+        # The empty write makes the table exist.
+        self._spark.createDataFrame(rows, self.SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.rows), self.SCHEMA)
+        self.flush()
+        return spark.read.schema(self.SCHEMA).parquet(self.path)

@@ -55,3 +55,14 @@ def test_statements(spark, tmp_path):
     out = str(tmp_path / "statements")
     lines.write.text(out)
     assert spark.read.text(out).where(F.col("value").startswith("v=graph")).count() == 2
+
+
+def test_a_repeated_id_is_one_vertex(spark):
+    rows = [(1, {"type": "airport", "desc": "b"}), (1, {"type": "airport", "desc": "a"}), (2, {"type": "country"})]
+    vertices = spark.createDataFrame(rows, "id bigint, properties map<string,string>")
+    edges = spark.createDataFrame([(1, 2, {"id": "9"})], "src bigint, dst bigint, properties map<string,string>")
+    for given in (vertices, graph.typed_vertices(vertices)):
+        triples = graph.triplets(given, edges).collect()
+        assert [(r.src_properties["desc"], r.dst) for r in triples] == [("a", 2)]
+    assert graph.dangling_edges(vertices, edges).count() == 0
+    assert graph.vertex_statements(vertices).count() == 2

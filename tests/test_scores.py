@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from chorale.functions import vectors as vx
 from chorale.operators import enrich, numbers, profiles, tones
-from chorale.schemas import FACTORS, SCORED_POST, STATUS, TONE_PAYLOAD, TONES, compact_schema
+from chorale.schemas import FACTORS, SCORED_POST, STATUS, TONE_PAYLOAD, TONES
 from chorale.sources import tables
 
 
@@ -51,7 +51,8 @@ def test_scores_above(spark):
 
 def test_schemas():
     assert len(FACTORS) == 13 and len(SCORED_POST) == 20 and len(STATUS) == 7
-    assert compact_schema("a b:int c:double").simpleString() == "struct<a:string,b:int,c:double>"
+    assert STATUS.simpleString() == (
+        "struct<userName:string,userId:string,userLang:string,createdAt:string,text:string,long:double,lat:double>")
 
 
 def test_mean_variance_closed_form(spark):
@@ -129,5 +130,14 @@ def test_python_scorer_survives_failures(spark):
         return {"len": float(len(text))}
 
     posts = spark.createDataFrame([(1, "abc"), (2, "bad"), (3, None)], "id int, text string")
-    out = posts.withColumn("scores", enrich.score_column(score, F.col("text")))
-    assert {r.id: r.scores for r in out.collect()} == {1: {"len": 3.0}, 2: None, 3: None}
+    out = posts.withColumn("found", enrich.score_column(score, F.col("text"))).select("id", "found.*").collect()
+    assert {r.id: r.scores for r in out} == {1: {"len": 3.0}, 2: None, 3: None}
+    assert {r.id: r.error for r in out} == {1: None, 2: "ValueError: bad", 3: None}
+
+
+def test_corpus_takes_all_posts(spark):
+    rows = [("u", k, f"word{k}", False, False) for k in range(450)]
+    df = spark.createDataFrame(rows, "userid string, created_at int, text string, is_repost boolean, is_reply boolean")
+    assert profiles.author_corpus(df).first().n_posts == 450
+    recent = profiles.recent_per_user(df, [F.desc("created_at")])
+    assert profiles.author_corpus(recent).first().text.startswith("word250\n")

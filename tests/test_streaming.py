@@ -107,7 +107,7 @@ def test_metrics_stream_equals_batch_replay(spark, tmp_path):
     for b in batches:
         _write(spark, src, b)
         time.sleep(0.05)
-    log = ProgressLog()
+    log = ProgressLog(spark, str(tmp_path / "progress"))
     spark.streams.addListener(log)
     try:
         build = lambda: pl.running_metrics(
@@ -132,7 +132,7 @@ def test_metrics_stream_equals_batch_replay(spark, tmp_path):
         x = snapshot.after(spark, 3).where("tag = '#x'").first()
         assert (x["count"], x.scores) == (expected["#x"][0] + 1, {"anger": (expected["#x"][1]["anger"] + 8.0) / 2})
         deadline = time.time() + 20
-        while time.time() < deadline and sum(r[1] == "stopped" for r in log.rows) < 2:
+        while time.time() < deadline and log.frame(spark).where("event = 'stopped'").count() < 2:
             time.sleep(0.1)
         events = [r.event for r in log.frame(spark).collect()]
         assert events.count("started") == 2 and events.count("batch") >= 4 and events.count("stopped") == 2
@@ -328,7 +328,7 @@ def test_messages_to_metrics_and_to_table(spark, tmp_path):
         return {"joy": 80.0} if "joyful" in text else {"joy": 10.0, "anger": 70.0}
 
     def posts():
-        return pl.scored_posts(_source(spark, src, "value string"), enrich.score_column(score, F.col("text")))
+        return pl.scored_posts(_source(spark, src, "value string"), enrich.score_column(score, F.col("text"))["scores"])
 
     StreamJob(
         lambda: pl.running_metrics(posts(), str(tmp_path / "state"), str(tmp_path / "cp1"), pl.write_message_folder(out))
@@ -343,3 +343,55 @@ def test_messages_to_metrics_and_to_table(spark, tmp_path):
     assert len(captured.columns) == 20
     assert sorted((r.text, r.Joy, r.Anger) for r in captured.collect()) == [
         ("#a grim #b", 10.0, 70.0), ("#a joyful", 80.0, 0.0), ("#b FAIL", 0.0, 0.0)]
+
+
+def _events_dir(spark, tmp_path, sf_dir, months):
+    """The tables of a test set with the events told again in later months."""
+    import os
+
+    out = tmp_path / "tables"
+    out.mkdir()
+    for name in os.listdir(sf_dir):
+        if not name.startswith("events"):
+            os.symlink(f"{sf_dir}/{name}", out / name)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    whole = events
+    for m in range(1, months):
+        later = events.withColumn("ts", F.expr(f"ts + make_interval(0, {m})")).withColumn(
+            "event_id", F.col("event_id") + m * 10**6)
+        whole = whole.unionByName(later)
+    whole.write.parquet(str(out / "events.parquet"))
+    return str(out)
+
+
+def test_replay_over_two_months_forwards_what_the_batch_does(spark, tmp_path, sf_dir):
+    from chorale.plans.catalog import QUERIES
+
+    place = _events_dir(spark, tmp_path, sf_dir, 2)
+    batch, stream = (sorted(map(tuple, QUERIES[n](spark, place).collect())) for n in ("throttle_events", "throttle_stream"))
+    assert batch == stream and len(batch) > 0
+
+
+def test_a_second_call_sees_new_rows(spark, tmp_path, sf_dir):
+    from chorale.plans.catalog import QUERIES
+
+    place = _events_dir(spark, tmp_path, sf_dir, 1)
+    before = QUERIES["running_total"](spark, place).count()
+    more = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("ts", F.expr("ts + make_interval(0, 1)"))
+    more.write.mode("append").parquet(f"{place}/events.parquet")
+    assert QUERIES["running_total"](spark, place).count() > before
+
+
+def test_timed_stop_waits_for_the_running_batch(spark, tmp_path):
+    done = []
+
+    def slow(batch, batch_id):
+        time.sleep(3)
+        done.append(batch_id)
+
+    job = StreamJob(
+        lambda: spark.readStream.format("rate").load().writeStream.option("checkpointLocation", str(tmp_path / "c")).foreachBatch(slow),
+        clock="0 seconds",
+    )
+    job.start(stop_after=1.0)
+    assert done and not job.running
