@@ -63,18 +63,12 @@ def _spans(column: pa.Array, window: int, seed: int):
     return row, s0 - first[row], s1 - first[row], hashed[at], span
 
 
-def _seed_counts(window: int, seed: int):
+def _seeds(window: int, seed: int):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        *_, anchor, span = _spans(text_column(batch, "text"), window, seed)
-        order = np.lexsort((span, anchor))
-        a, s = anchor[order], span[order].view(np.int64)
-        new = np.flatnonzero(np.r_[True, a[1:] != a[:-1]]) if len(a) else np.zeros(0, np.int64)
-        ends = np.r_[new[1:], len(a)].astype(np.int64) if len(a) else new
-        low = np.minimum.reduceat(s, new) if len(a) else s
-        high = np.maximum.reduceat(s, new) if len(a) else s
+        anchor = np.sort(_spans(text_column(batch, "text"), window, seed)[3])
+        new = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]]) if len(anchor) else np.zeros(0, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(a[new].view(np.int64)), pa.array(ends - new), pa.array(low), pa.array(high)],
-            names=["anchor", "n", "low", "high"],
+            [pa.array(anchor[new].view(np.int64)), pa.array(np.diff(np.r_[new, len(anchor)]))], names=["seed", "n"]
         )
 
     return per_batch(work)
@@ -155,33 +149,35 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int, seed: int) ->
 
     A null mask means all stretches of the span.
     """
-    counted = rows.select("text").mapInArrow(_seed_counts(window, seed), "anchor bigint, n bigint, low bigint, high bigint")
-    seeds = counted.groupBy("anchor").agg(
-        F.sum("n").alias("n"), (F.min("low") != F.max("high")).alias("differ")
-    ).where("n >= 2").select(F.col("anchor").alias("seed"), "differ")
+    seeds = rows.select("text").mapInArrow(_seeds(window, seed), "seed bigint, n bigint").groupBy("seed").agg(
+        F.sum("n").alias("n")
+    ).where("n >= 2").drop("n")
     found = rows.select("k", "h", "text").mapInArrow(
         _occurrences(window, seed), "k bigint, h bigint, s0 int, s1 int, anchor bigint, span bigint"
     )
     hits = kept(found.join(seeds, F.col("anchor") == F.col("seed")).drop("seed"))
-    # One occurrence stands for all with its span.
-    stand = hits.where("differ").groupBy("anchor", "span").agg(
+    # One occurrence stands for all with its span; spans matter where an anchor has several.
+    spans = hits.groupBy("anchor", "span").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "h", "s0", "s1")).alias("at")
     )
+    several = spans.groupBy("anchor").agg(F.count(F.lit(1)).alias("spans")).where("spans > 1").drop("spans")
+    stand = kept(spans.join(several, "anchor"))
     by_text = stand.groupBy(F.col("at.k").alias("k"), F.col("at.h").alias("h")).agg(
         F.collect_list(F.struct("anchor", "span", "n", "at.s0", "at.s1")).alias("spans")
     )
-    stretches = kept(
-        texts.join(by_text, ["k", "h"]).mapInArrow(
-            _stretches(window), "anchor bigint, span bigint, n bigint, w int, stretch bigint"
-        )
+    stretches = texts.join(by_text, ["k", "h"]).mapInArrow(
+        _stretches(window), "anchor bigint, span bigint, n bigint, w int, stretch bigint"
     )
     again = stretches.groupBy("anchor", "stretch").agg(F.sum("n").alias("n")).where("n >= 2").drop("n")
     masks = stretches.join(again, ["anchor", "stretch"]).groupBy("anchor", "span").agg(
-        F.bit_or(F.expr("shiftleft(1L, w)")).alias("mask")
+        F.bit_or(F.expr("shiftleft(1L, w)")).alias("bits")
+    )
+    found = stand.select("anchor", "span").join(masks, ["anchor", "span"], "left").select(
+        "anchor", "span", F.coalesce("bits", F.lit(0).cast("bigint")).alias("mask")
+    )
+    return hits.join(found, ["anchor", "span"], "left").groupBy("k", "h").agg(
+        F.collect_list(F.struct("s0", "s1", "mask")).alias("spans")
     )
-    partial = hits.where("differ").join(masks, ["anchor", "span"]).select("k", "h", "s0", "s1", "mask")
-    whole = hits.where("not differ").select("k", "h", "s0", "s1", F.lit(None).cast("bigint").alias("mask"))
-    return whole.unionByName(partial).groupBy("k", "h").agg(F.collect_list(F.struct("s0", "s1", "mask")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
