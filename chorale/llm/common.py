@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from chorale.session import scratch_root
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Rows of one Arrow batch: texts are wide, so few of them go to Python at once.
 BATCH_ROWS = 256
 SPACES = r"[\x20\x09-\x0D]+"
@@ -22,7 +24,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepared(spark: SparkSession) -> SparkSession:
-    """Small Arrow batches, a checkpoint folder that executors share, skewed joins split."""
+    """Small Arrow batches, a checkpoint folder that executors share, skewed joins split.
+
+    Python workers look for this package where the driver found it, besides their own paths.
+    """
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     if spark.sparkContext.getCheckpointDir() is None:

@@ -101,7 +101,7 @@ def _examples(features: np.ndarray):
 
 def cumulative_link(
     rows: np.ndarray, columns: np.ndarray, values: np.ndarray, grades: np.ndarray, width: int, top: int,
-    strength: float = 1e-3, steps: int = 400,
+    strength: float = 1e-5, steps: int = 800,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ordered thresholds of a cumulative logit model, by Adam on all examples.
 

@@ -75,7 +75,7 @@ def test_gradients_by_differences():
         above = 1 / (1 + np.exp(c[None, :] - np.bincount(rows, w[columns], 200)[:, None]))
         edge = np.c_[np.ones(200), above, np.zeros(200)]
         k = np.arange(200)
-        return -np.log(edge[k, grades] - edge[k, grades + 1]).mean() + 0.5e-3 * (w @ w)
+        return -np.log(edge[k, grades] - edge[k, grades + 1]).mean() + 0.5e-5 * (w @ w)
 
     best = loss(weights, cuts)
     for _ in range(50):
