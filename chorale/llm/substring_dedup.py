@@ -149,9 +149,12 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int, seed: int) ->
 
     A null mask means all stretches of the span.
     """
-    seeds = rows.select("text").mapInArrow(_seeds(window, seed), "seed bigint, n bigint").groupBy("seed").agg(
-        F.sum("n").alias("n")
-    ).where("n >= 2").drop("n")
+    # Written first, so that the join has exchanges of its own and a frequent seed is split.
+    seeds = kept(
+        rows.select("text").mapInArrow(_seeds(window, seed), "seed bigint, n bigint").groupBy("seed").agg(
+            F.sum("n").alias("n")
+        ).where("n >= 2").drop("n")
+    )
     found = rows.select("k", "h", "text").mapInArrow(
         _occurrences(window, seed), "k bigint, h bigint, s0 int, s1 int, anchor bigint, span bigint"
     )
