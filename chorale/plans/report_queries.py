@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chorale.functions import messages as ms
+from chorale.functions import text as tx
 from chorale.operators import mentions, reports, rows, tags, timelines
 from chorale.plans import views
 from chorale.plans.registry import query
@@ -295,6 +296,7 @@ def feature_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.country_counts(rows.flagged(_flags(spark, sf_dir), "MOVING"))
 
 
+_STOP = ", ".join(f"('{w}')" for w in tx.STOP_WORDS)
 SLICE = ("1997-09-15 00:00:00", "1997-10-15 00:00:00")
 _IN_SLICE = f"\"POSTING_TIME\" >= TIMESTAMP '{SLICE[0]}' AND \"POSTING_TIME\" < TIMESTAMP '{SLICE[1]}'"
 
@@ -312,7 +314,9 @@ def label_window_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_views(
         f"""SELECT word, count(*) AS n FROM (
             SELECT unnest(regexp_split_to_array("MESSAGE_BODY", '\\s')) AS word FROM flags WHERE "LOW" AND {_IN_SLICE})
-        WHERE length(word) > 3 AND NOT starts_with(word, 'http') GROUP BY 1 ORDER BY n DESC, word LIMIT 10""",
+        WHERE length(word) > 3 AND NOT starts_with(word, 'http') AND NOT regexp_matches(word, '[^\\x00-\\x7F]')
+          AND word NOT IN (SELECT w FROM (VALUES {_STOP}) s(w))
+        GROUP BY 1 ORDER BY n DESC, word LIMIT 10""",
         "flags",
     )
 )

@@ -302,14 +302,23 @@ def throttle_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     with_views(
-        """SELECT 'tweets' AS channel, count(*) AS n, sum(length(text)) :: BIGINT AS chars FROM event_posts""",
+        """SELECT 'tweets' AS channel, event_id, 'a "b"' AS author, CAST(user_id AS VARCHAR) AS userid, true AS no_picture, text,
+                  anger, CASE WHEN k % 5 <> 0 THEN k END AS joy FROM event_posts""",
         "event_posts",
     )
 )
 def post_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every envelope read back field by field; the event is told by its text form."""
     posts = views.event_posts(spark, sf_dir).select(
-        F.lit("a \"b\"").alias("author"), F.col("user_id").cast("string").alias("userid"), "text", "scores"
+        F.lit("a \"b\"").alias("author"), F.col("user_id").cast("string").alias("userid"),
+        F.concat_ws("|", F.col("event_id").cast("string"), "text").alias("text"), "scores",
+    )
+    fields = F.from_json("payload", "author string, userid string, pic string, text string, sentiment map<string,double>")
+    read = sinks.post_channel(posts).select("channel", "payload", fields.alias("f"))
+    return read.select(
+        "channel", F.substring_index("f.text", "|", 1).cast("bigint").alias("event_id"), "f.author", "f.userid",
+        (F.col("f.pic").isNull() & F.col("payload").contains('"pic":null')).alias("no_picture"),
+        F.expr("substring(f.text, instr(f.text, '|') + 1)").alias("text"),
+        F.try_element_at("f.sentiment", F.lit("anger")).alias("anger"),
+        F.try_element_at("f.sentiment", F.lit("joy")).alias("joy"),
     )
-    sent = sinks.post_channel(posts)
-    read = F.get_json_object("payload", "$.text")
-    return sent.groupBy("channel").agg(F.count("*").alias("n"), F.sum(F.length(read)).alias("chars"))

@@ -9,7 +9,8 @@ from chorale.plans.catalog import QUERIES
 
 # These run their jobs when called and return a plain scan of what was written.
 EAGER = {"running_total", "stream_tag_state", "stored_tag_changes", "metric_messages", "captured_union",
-         "captured_scores", "throttle_stream", "stored_documents"}
+         "captured_scores", "throttle_stream", "stored_documents", "written_and_counted", "cached_reports",
+         "topic_channel_rows"}
 
 
 def _plan(df):
