@@ -6,6 +6,7 @@ tags of each line is smoothed by a Gaussian, and a two-cluster threshold over th
 ratios tells content lines. They choose the regions: an ``article`` (or ``main``) that
 holds content lines is taken whole, so its short paragraphs stay; in pages without one, the
 stretches of content lines are. Menus, forms, adverts, comments and the like never count.
+An element that only its class or id speaks against does not hide an article inside it.
 """
 
 from __future__ import annotations
@@ -41,27 +42,47 @@ NAMES = frozenset(
     "notices notification overlay pagination pager popup promo promotion related reply replies respond share sharing "
     "sidebar signup skyscraper social sponsor sponsored subscribe toolbar topbar widget widgets".split()
 )
+COMMENTS = frozenset("comment comments commentlist disqus replies reply respond".split())
+# Such ends of a name tell how a page is laid out, not what an element is: no-sidebar, comments-open.
+BEFORE = frozenset("has no with without".split())
+AFTER = frozenset("closed disabled enabled open".split())
+WRAPS = frozenset("wrap wrapper".split())
 _SPLIT = re.compile(r"[^a-z0-9]+")
+IN, NAMED, OUT = range(3)  # an article or main inside a NAMED element is read all the same
 
 
-def unwanted(tag: str, attributes: list[tuple[str, str | None]]) -> bool:
-    """Whether an element holds no article text by its kind, role or name."""
+def named(token: str) -> set[str]:
+    """The names that a class or id begins or ends with."""
+    parts = [x for x in _SPLIT.split(token) if x]
+    if not parts or parts[0] in BEFORE or parts[-1] in AFTER:
+        return set()
+    if parts[-1] in WRAPS:
+        # A wrap is left out by a name only if it wraps nothing else: ad-wrap, but not content-sidebar-wrap.
+        return set(parts[:-1]) if NAMES.issuperset(parts[:-1]) else set()
+    return NAMES.intersection((parts[0], parts[-1]))
+
+
+def unwanted(tag: str, attributes: list[tuple[str, str | None]]) -> int:
+    """Whether an element holds no article text by its kind or role (OUT) or by its name (NAMED, comments OUT)."""
     if tag in LEFT_OUT:
-        return True
+        return OUT
     if tag in ("html", "body", "article", "main"):
-        return False
+        return IN
+    names = set()
     for name, value in attributes:
         if name == "hidden" or name == "aria-hidden" and value == "true":
-            return True
+            return OUT
         if not value:
             continue
         if name == "role" and value.lower() in ROLES:
-            return True
-        if name in ("class", "id") and not NAMES.isdisjoint(_SPLIT.split(value.lower())):
-            return True
+            return OUT
+        if name in ("class", "id"):
+            names.update(*map(named, value.lower().split()))
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+            return OUT
+    if not names:
+        return IN
+    return NAMED if COMMENTS.isdisjoint(names) else OUT
 
 
 class Lines(HTMLParser):
@@ -69,8 +90,8 @@ class Lines(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, int, bool]] = []  # tag, region, left out
-        self.region, self.out = 0, False
+        self.open: list[tuple[str, int, int]] = []  # tag, region, left out
+        self.region, self.out = 0, IN
         self.regions: list[str] = ["page"]
         self.parts: list[str] = []
         self.tags = 0
@@ -92,10 +113,12 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         self.open.append((tag, self.region, self.out))
-        if tag in ("article", "main") and not self.out:
+        # What is named inside an article, such as related stories, stays left out.
+        opens = self.out == IN or self.out == NAMED and self.regions[self.region] != "article"
+        if tag in ("article", "main") and opens:
             self.regions.append(tag)
-            self.region = len(self.regions) - 1
-        self.out = self.out or unwanted(tag, attrs)
+            self.region, self.out = len(self.regions) - 1, IN
+        self.out = max(self.out, unwanted(tag, attrs))
 
     def handle_startendtag(self, tag, attrs) -> None:
         if tag in BLOCKS:

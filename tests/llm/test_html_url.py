@@ -42,6 +42,34 @@ def test_small_pages(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize("wrapper", [
+    'class="content-sidebar-wrap"', 'class="page no-sidebar"', 'class="has-sidebar"', 'class="with-comments"',
+    'id="header-notice"', 'class="widget"', 'class="site comments-open"', 'class="sidebar-wrapper"', 'class="share related"',
+])
+def test_wrappers_do_not_hide_the_article(wrapper):
+    article = "<p>A story of some length.</p><div class='ad'>Buy</div><div class='related'><article>Other</article></div>"
+    for tag in ("article", "main"):
+        page = f'<body><div {wrapper}><div><{tag}>{article.replace("article>", "p>")}</{tag}></div></div></body>'
+        assert html_text.main_text(page) == "A story of some length."
+    assert html_text.main_text(f"<div {wrapper}><article>{article}</article></div>") == "A story of some length."
+
+
+@pytest.mark.parametrize("name", ["no-sidebar", "content-sidebar-wrap", "has-comments", "page-header-wrap"])
+def test_layout_names_hide_nothing(name):
+    assert html_text.main_text(f'<div class="page {name}"><p>Plain text</p></div>') == "Plain text"
+
+
+@pytest.mark.parametrize("inside", [
+    "<nav>{}</nav>", "<aside>{}</aside>", "<form>{}</form>", "<div class='comments-area'>{}</div>", "<li class='comment'>{}</li>",
+    "<div hidden>{}</div>", "<div class='sidebar'><div id='comment-7'>{}</div></div>",
+])
+def test_articles_of_other_parts_stay_out(inside):
+    page = "<article><p>The story</p></article>" + inside.format("<article><p>Not the story</p></article>")
+    assert html_text.main_text(page) == "The story"
+    for name in ("ad", "ad-wrapper", "top_ad", "sidebar", "cookie-notice", "left-sidebar"):
+        assert html_text.main_text(f"<p>The story</p><div class='x {name}'>Not the story</div>") == "The story"
+
+
 def test_pages_as_rows(spark):
     rows = [(1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (None, "v", "", "x"), (3, "w", "<p>long</p>" * 5000, "")]
     df = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
