@@ -3,22 +3,27 @@
 A message is forwarded when it comes more than ``gap`` after the last one
 forwarded for its key. That is a chain through time, yet no key has to sit in
 one task: time is cut into blocks, each block works out in parallel where it
-would leave off for every way of entering it, the short block summaries are
-chained per key, and the blocks then replay in parallel from their known entry.
+would leave off for every way of entering it, the starts of these summaries are
+linked to those that follow by pointer doubling in joins, and the blocks then
+replay in parallel from their known entry.
 
 Group sizes are bounded by time, not by rows: a key holds one row per
-millisecond after the first grouping, a block ``block_ms`` of them at most, and
-the chain has one summary per block.
+millisecond after the first grouping and a block ``block_ms`` of them at most.
+Starts are rows, within the first gap of a block; only the look-up of the next
+block that has messages goes through a key's blocks in order, one row for each.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chorale.session import scratch_root
+
+BLOCK_MS = 600_000  # length of a block, whatever the gap
 NEVER = np.iinfo("int64").min // 2
 
 
@@ -32,12 +37,18 @@ def millis(df: DataFrame, ts: str) -> Column:
     return F.unix_millis(ts)
 
 
-def _summaries(gap: int, block_ms: int, carried: bool):
+def stored(df: DataFrame) -> DataFrame:
+    """The rows in the shared checkpoint folder, which Spark can clean; lineage ends there."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()
+
+
+def _summaries(gap: int, block_ms: int):
     """Per block: (latest first-forwarded time, time of the block's last forward).
 
     A chain that comes from an earlier block starts within the first gap of this
-    one, or at the first message beyond it. One carried over from an earlier run
-    may start anywhere.
+    one, or at the first message beyond it.
     """
 
     @F.pandas_udf("firsts array<bigint>, lasts array<bigint>")
@@ -49,13 +60,12 @@ def _summaries(gap: int, block_ms: int, carried: bool):
                 out.append((times, times))
                 continue
             after = np.searchsorted(times, times + gap, side="right")
-            last = times.copy()
-            for i in range(n - 1, -1, -1):
-                if after[i] < n:
-                    last[i] = last[after[i]]
-            reach = n
-            if not carried:
-                reach = min(n, np.searchsorted(times, block * block_ms + gap, side="right") + 1)
+            # Pointers double until each start knows the last forward of its chain.
+            to = np.where(after < n, after, np.arange(n))
+            while not np.array_equal(further := to[to], to):
+                to = further
+            last = times[to]
+            reach = min(n, np.searchsorted(times, block * block_ms + gap, side="right") + 1)
             firsts, lasts = times[:reach], last[:reach]
             ends_run = np.append(lasts[1:] != lasts[:-1], True)
             out.append((firsts[ends_run], lasts[ends_run]))
@@ -64,31 +74,59 @@ def _summaries(gap: int, block_ms: int, carried: bool):
     return summarise
 
 
-def _chain(gap: int):
-    """Per key: the last forwarded time before every block, blocks in order.
+def _next_start(starts: DataFrame, gap: int, block_ms: int) -> DataFrame:
+    """(key, at, to): the start that follows the chain from each; the last ones are left out.
 
-    The summaries of a key's blocks come end to end, with their lengths.
+    The smallest start beyond the gap is looked up in the block where the gap ends. If that
+    has none, it is the first of the key's next block, of which a key has one row each.
     """
+    due = F.col("last") + gap + 1
+    block = lambda ms: F.floor(ms / block_ms).cast("bigint")
+    wanted = starts.select("key", block(due).alias("block"), due.alias("ms"), F.col("first").alias("at"))
+    offered = starts.select("key", "block", F.col("first").alias("ms"), F.lit(None).cast("bigint").alias("at"))
+    offer = F.when(F.col("at").isNull(), F.col("ms"))
+    # From the latest on, so that a row has seen what comes after it; of equal times offers go first.
+    here = Window.partitionBy("key", "block").orderBy(F.desc("ms"), F.asc_nulls_first("at"))
+    seen = here.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    looked = (
+        wanted.unionByName(offered).withColumn("to", F.last(offer, ignorenulls=True).over(seen)).where("at is not null")
+    )
+    heads = starts.groupBy("key", "block").agg(F.min("first").alias("head"))
+    asked = looked.where("to is null").select("key", "block", F.lit(None).cast("bigint").alias("head")).distinct()
+    later = Window.partitionBy("key").orderBy(F.desc("block"), F.desc_nulls_last("head"))
+    before = later.rowsBetween(Window.unboundedPreceding, -1)
+    # A block that is asked past may have a head of its own, which is no later start.
+    rows = heads.unionByName(asked).groupBy("key", "block").agg(F.max("head").alias("head"))
+    beyond = rows.select("key", "block", F.last("head", ignorenulls=True).over(before).alias("beyond"))
+    return (
+        looked.join(beyond, ["key", "block"], "left")
+        .select("key", "at", F.coalesce("to", "beyond").alias("to"))
+        .where("to is not null")
+    )
 
-    @F.pandas_udf("array<bigint>")
-    def chain(
-        lengths_of: pd.Series, firsts_of: pd.Series, lasts_of: pd.Series, carry_of: pd.Series
-    ) -> pd.Series:
-        out = []
-        for lengths, firsts, lasts, carry in zip(lengths_of, firsts_of, lasts_of, carry_of):
-            sent = NEVER if pd.isna(carry) else int(carry)
-            entries, start = [], 0
-            for length in lengths:
-                entries.append(sent)
-                end = start + length
-                at = start + np.searchsorted(firsts[start:end], sent + gap, side="right")
-                if at < end:
-                    sent = int(lasts[at])
-                start = end
-            out.append(entries)
-        return pd.Series(out)
 
-    return chain
+def _entries(starts: DataFrame, gap: int, block_ms: int) -> DataFrame:
+    """(key, block, sent): blocks a key's chain enters and the last forward before each.
+
+    Chains are put together by pointer doubling: table k leads 2**k blocks on, and from the
+    largest down each adds what it reaches, so no row or task holds a key's history.
+    """
+    one = stored(_next_start(starts, gap, block_ms))
+    jumps = [one]
+    while not jumps[-1].isEmpty():
+        half = jumps[-1]
+        rest = half.select("key", F.col("at").alias("to"), F.col("to").alias("_to"))
+        jumps.append(stored(half.join(rest, ["key", "to"]).select("key", "at", F.col("_to").alias("to"))))
+    reached = starts.groupBy("key").agg(F.min("first").alias("at"))
+    for jump in reversed(jumps[:-1]):
+        reached = stored(reached.unionByName(reached.join(jump, ["key", "at"]).select("key", F.col("to").alias("at"))))
+    block = F.floor(F.col("to") / block_ms).cast("bigint")
+    came = (
+        reached.join(one, ["key", "at"])
+        .join(starts.select("key", F.col("first").alias("at"), "last"), ["key", "at"])
+        .select("key", block.alias("block"), F.col("last").alias("sent"))
+    )
+    return starts.groupBy("key").agg(F.min("block").alias("block")).withColumn("sent", F.lit(int(NEVER))).unionByName(came)
 
 
 def _replay(gap: int):
@@ -101,11 +139,11 @@ def _replay(gap: int):
             if len(times) == 1:
                 out.append([0] if times[0] > sent + gap else [])
                 continue
-            kept = []
-            at = np.searchsorted(times, sent + gap, side="right")
+            kept, after = [], np.searchsorted(times, times + gap, side="right").tolist()
+            at = int(np.searchsorted(times, sent + gap, side="right"))
             while at < len(times):
                 kept.append(at)
-                at = np.searchsorted(times, times[at] + gap, side="right")
+                at = after[at]
             out.append(kept)
         return pd.Series(out)
 
@@ -127,51 +165,49 @@ def throttle(
     two of them can both be forwarded. ``carry`` gives (key, sent_ms) of earlier
     runs. Join the result back on the message id for whole rows.
     """
-    block_ms = block_ms or max(3_600_000, 8 * gap_ms)
-    per_ms = (
-        messages.select(
-            F.col(key).alias("key"), millis(messages, ts).alias("ms"), F.col(message_id).alias("_id")
+    block_ms = block_ms or BLOCK_MS
+    timed = messages.select(
+        F.col(key).alias("key"), millis(messages, ts).alias("ms"), F.col(message_id).alias("_id")
+    ).where(F.col("key").isNotNull() & F.col("ms").isNotNull())
+    if carry is not None:
+        # What the carry holds back goes first, so that a key's chain starts with its first row.
+        timed = timed.join(carry.select("key", "sent_ms"), "key", "left").where(
+            F.col("sent_ms").isNull() | (F.col("ms") > F.col("sent_ms") + gap_ms)
         )
-        .where(F.col("key").isNotNull() & F.col("ms").isNotNull())
-        .groupBy("key", "ms")
-        .agg(F.min("_id").alias("message_id"))
-    )
+    per_ms = timed.groupBy("key", "ms").agg(F.min("_id").alias("message_id"))
     block = F.floor(F.col("ms") / block_ms).cast("bigint")
-    blocks = (
+    blocks = stored(
         per_ms.groupBy("key", block.alias("block"))
         .agg(F.array_sort(F.collect_list(F.struct("ms", "message_id"))).alias("rows"))
         .withColumn("times", F.transform("rows", lambda r: r["ms"]))
     )
-    summaries = blocks.select(
-        "key", "block", _summaries(gap_ms, block_ms, carry is not None)("block", "times").alias("s")
-    ).select("key", "block", "s.*")
-    chains = (
-        summaries.groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("block", "firsts", "lasts"))).alias("b"))
-        .select(
-            "key",
-            F.col("b.block").alias("blocks"),
-            F.transform("b", lambda b: F.size(b["firsts"])).alias("lengths"),
-            F.flatten("b.firsts").alias("firsts"),
-            F.flatten("b.lasts").alias("lasts"),
-        )
+    starts = stored(
+        blocks.select("key", "block", _summaries(gap_ms, block_ms)("block", "times").alias("s"))
+        .select("key", "block", F.inline(F.arrays_zip(F.col("s.firsts").alias("first"), F.col("s.lasts").alias("last"))))
+        .toDF("key", "block", "first", "last")
     )
-    if carry is None:
-        chains = chains.withColumn("carry", F.lit(None).cast("bigint"))
-    else:
-        chains = chains.join(carry.select("key", F.col("sent_ms").alias("carry")), "key", "left")
-    sent = _chain(gap_ms)("lengths", "firsts", "lasts", "carry")
-    entries = chains.select("key", "blocks", sent.alias("sents")).select(
-        "key", F.inline(F.arrays_zip(F.col("blocks").alias("block"), F.col("sents").alias("sent")))
-    ).toDF("key", "block", "sent")
     return (
-        blocks.join(entries, ["key", "block"])
+        blocks.join(_entries(starts, gap_ms, block_ms), ["key", "block"])
         .withColumn("_kept", _replay(gap_ms)("times", "sent"))
         .select("key", F.explode(F.transform("_kept", lambda i: F.get("rows", i))).alias("r"))
         .select("key", "r.ms", "r.message_id")
     )
 
 
+def left_out(messages: DataFrame, key: str, ts: str, carry: DataFrame | None = None) -> DataFrame:
+    """One row: null_keys, null_times (of the others) and late messages, from before the last one sent."""
+    rows = messages.select(F.col(key).alias("key"), millis(messages, ts).alias("ms"))
+    if carry is None:
+        rows = rows.withColumn("sent_ms", F.lit(None).cast("bigint"))
+    else:
+        rows = rows.join(carry.select("key", "sent_ms"), "key", "left")
+    return rows.agg(
+        F.count_if(F.col("key").isNull()).alias("null_keys"),
+        F.count_if(F.col("key").isNotNull() & F.col("ms").isNull()).alias("null_times"),
+        F.count_if(F.col("ms") < F.col("sent_ms")).alias("late"),
+    )
+
+
 def last_sent(forwarded: DataFrame, carry: DataFrame | None = None) -> DataFrame:
     """(key, sent_ms) to carry into the next run."""
     now = forwarded.select("key", F.col("ms").alias("sent_ms"))

@@ -138,7 +138,11 @@ def throttled(
     publish: Callable[[DataFrame, int], None],
     gap_ms: int = 200,
 ) -> DataStreamWriter:
-    """Forward messages at a minimum gap per key, across batches (STR-9)."""
+    """Forward messages at a minimum gap per key, across batches (STR-9).
+
+    Messages without key or time and late ones are counted per batch, as JSON in
+    ``left_out`` beside the state.
+    """
     kind = messages.schema[key].dataType.simpleString()
     sent = Snapshot(state_path, f"key {kind}, sent_ms bigint")
 
@@ -148,6 +152,8 @@ def throttled(
         forwarded = th.throttle(batch, key, ts, message_id, gap_ms, carry).persist()
         try:
             publish(forwarded, batch_id)
+            counts = th.left_out(batch, key, ts, carry).coalesce(1)
+            counts.write.mode("overwrite").json(f"{state_path.rstrip('/')}/left_out/batch_id={batch_id}")
             sent.fold(spark, batch_id, lambda before: th.last_sent(forwarded, before))
         finally:
             forwarded.unpersist()

@@ -76,3 +76,26 @@ def test_wall_clock_millis(spark):
     df = spark.sql("select timestamp_ntz'2024-03-31 02:30:00.123999' a, timestamp'2024-03-31 02:30:00.123999' b")
     row = df.select(th.millis(df, "a").alias("a"), th.millis(df, "b").alias("b")).first()
     assert row.a == row.b == 1711852200123
+
+
+def test_no_row_holds_a_long_block_or_a_batch(spark, monkeypatch):
+    # A dense key over more than a block, at a gap of many blocks, without and with a carry.
+    kept, plain = [], th.stored
+    monkeypatch.setattr(th, "stored", lambda df: kept.append(plain(df)) or kept[-1])
+    events = [("hot", ms, ms) for ms in range(0, 2_400_000, 400)] + [("b", 5, -1), ("b", 30_000_000, -2)]
+    for gap, carry in ((7_000, None), (900_000, None), (7_000, 350_100), (200, 350_100)):
+        kept.clear()
+        given = None if carry is None else spark.createDataFrame([("hot", carry), ("x", 1)], "key string, sent_ms bigint")
+        found = _run(spark, events, gap, carry=given)
+        assert found == _brute(events, gap, carry and {"hot": carry})[0], (gap, carry)
+        assert max(r[0] for r in kept[0].select(F.size("rows")).collect()) == 600_000 // 400
+        # The summaries hold the first gap of each block, not its messages.
+        assert kept[1].groupBy("key", "block").count().agg(F.max("count")).first()[0] <= gap // 400 + 2
+        assert all(t not in str(k.dtypes) for k in kept[1:] for t in ("array", "map"))
+
+
+def test_left_out_messages_are_counted(spark):
+    rows = [(None, 1, 1), (None, None, 2), ("k", None, 3), ("k", 5, 4), ("k", 100, 5), ("k", 900, 6), ("new", 1, 7)]
+    carry = spark.createDataFrame([("k", 100)], "key string, sent_ms bigint")
+    assert tuple(th.left_out(_frame(spark, rows), "key", "ts", carry).first()) == (2, 1, 1)
+    assert tuple(th.left_out(_frame(spark, rows), "key", "ts").first()) == (2, 1, 0)
