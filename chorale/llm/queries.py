@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
-from chorale.llm import ann, byte_bpe, fingerprints, html_text, jaccard_join, mixing, sharding, substring_dedup, toxicity, url_filter
+from chorale.llm import (
+    ann, byte_bpe, fill_middle, fingerprints, html_text, jaccard_join, mixing, periodic, sharding, substring_dedup, top_scores,
+    toxicity, url_filter,
+)
 from chorale.llm.common import table
 
 QUERIES = {}
 ORACLES = {}
 
 
-def query(run):
+def query(run, sql=None):
     QUERIES[run.__name__] = run
+    if sql is not None:
+        ORACLES[run.__name__] = sql
     return run
 
 
+def with_sql(sql):
+    return lambda run: query(run, sql)
+
+
 @query
 def op1_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
@@ -63,3 +72,19 @@ def op9_mixture(spark, sf_dir):
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprints.compare_with_edits(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    return periodic.digest(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+
+
+@with_sql(top_scores.SQL)
+def op12_top_scores(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    return top_scores.top_scores(rows, rows.where("vec_id % 50 = 0"))
+
+
+@with_sql(fill_middle.SQL)
+def op13_fill_middle(spark, sf_dir):
+    return fill_middle.digest(table(spark, sf_dir, "documents"))
