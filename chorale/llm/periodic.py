@@ -17,10 +17,9 @@ in the task that reads them; tiles of long ones are rows of their own, dealt to
 
 from __future__ import annotations
 
-import hashlib
 import zlib
+from collections.abc import Callable
 from copy import copy
-from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +36,8 @@ LONG = 1 << 16  # bytes from which a text's tiles are dealt out
 REGION = 8192  # words whose boundaries one tile row holds, at least
 LOW = 512  # octaves up to this one share their tile rows
 TOGETHER = 1 << 18  # words of short documents solved at once
+# Of a doc_id and a number of words: the places of the words to take, or None for all as they are.
+Edit = Callable[[int | None, int], np.ndarray | None]
 _PRIMES = (2147483647, 2147483629)
 _BASES = (1103515245, 1664525017)
 
@@ -108,7 +109,7 @@ def boundary_z(words: Stretches, octave: int, bounds: np.ndarray):
     marks = np.append(words.marks(octave), np.full(4 * octave, np.iinfo(np.uint64).max))
     windows = np.lib.stride_tricks.sliding_window_view(marks, width)
     b_of, q_of = [], []
-    per_step = max(1, (1 << 22) // width)
+    per_step = max(1, (1 << 20) // width)
     for k in range(0, len(bounds), per_step):
         b = bounds[k : k + per_step]
         after = np.zeros((len(b), width), bool)
@@ -185,9 +186,13 @@ def solve_documents(texts: list[np.ndarray]):
     return tuple(np.concatenate(c) for c in zip(*found))
 
 
-def _codes(column: pa.Array) -> list[np.ndarray]:
-    _, _, words, first = word_hashes(column)
-    return [words[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+def _codes(batch: pa.RecordBatch, edit: Edit | None) -> list[np.ndarray]:
+    _, _, words, first = word_hashes(text_column(batch, "text"))
+    out = [words[a:b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
+    if edit:
+        places = [edit(i, len(w)) for i, w in zip(batch.column("doc_id").to_pylist(), out)]
+        out = [w if p is None else w[p] for w, p in zip(out, places)]
+    return out
 
 
 _FRAGMENT = "k bigint, h bigint, q bigint, s bigint, e bigint"
@@ -201,9 +206,8 @@ def _rows(batch: pa.RecordBatch, row: np.ndarray, *columns: np.ndarray) -> pa.Re
     )
 
 
-@per_batch
-def _solve_short(batch: pa.RecordBatch) -> pa.RecordBatch:
-    return _rows(batch, *solve_documents(_codes(text_column(batch, "text"))))
+def _solve_short(edit: Edit | None):
+    return per_batch(lambda batch: _rows(batch, *solve_documents(_codes(batch, edit))))
 
 
 def tiles(n: int) -> list[tuple[list[int], int, int, int, int]]:
@@ -218,18 +222,21 @@ def tiles(n: int) -> list[tuple[list[int], int, int, int, int]]:
     return out
 
 
-def _cut_tiles(batches):
-    for batch in batches:
-        for i, words in enumerate(_codes(text_column(batch, "text"))):
-            # Numbers of the distinct words of the text, half as wide as their hashes.
-            codes = np.unique(words, return_inverse=True)[1].astype(np.int32)
-            for group, a, b, first, stop in tiles(len(codes)):
-                yield pa.RecordBatch.from_pydict({
-                    "k": batch.column("k").slice(i, 1), "h": batch.column("h").slice(i, 1),
-                    "octaves": pa.array([group], pa.list_(pa.int64())), "start": pa.array([a], pa.int64()),
-                    "first": pa.array([first], pa.int64()), "stop": pa.array([stop], pa.int64()),
-                    "words": pa.array([codes[a:b].tobytes()], pa.binary()),
-                })
+def _cut_tiles(edit: Edit | None):
+    def run(batches):
+        for batch in batches:
+            for i, words in enumerate(_codes(batch, edit)):
+                # Numbers of the distinct words of the text, half as wide as their hashes.
+                codes = np.unique(words, return_inverse=True)[1].astype(np.int32)
+                for group, a, b, first, stop in tiles(len(codes)):
+                    yield pa.RecordBatch.from_pydict({
+                        "k": batch.column("k").slice(i, 1), "h": batch.column("h").slice(i, 1),
+                        "octaves": pa.array([group], pa.list_(pa.int64())), "start": pa.array([a], pa.int64()),
+                        "first": pa.array([first], pa.int64()), "stop": pa.array([stop], pa.int64()),
+                        "words": pa.array([codes[a:b].tobytes()], pa.binary()),
+                    })
+
+    return run
 
 
 @per_batch
@@ -244,12 +251,12 @@ def _solve_tiles(batch: pa.RecordBatch) -> pa.RecordBatch:
     return _rows(batch, *(np.concatenate(c) for c in zip(*out)))
 
 
-def _fragments(rows: DataFrame) -> DataFrame:
+def _fragments(rows: DataFrame, edit: Edit | None) -> DataFrame:
     """Fragments (k, h, q, s, e) of all texts."""
     long = F.octet_length("text") > LONG
-    short = rows.where(~long).mapInArrow(_solve_short, _FRAGMENT)
+    short = rows.where(~long).mapInArrow(_solve_short(edit), _FRAGMENT)
     dealt = rows.where(long).mapInArrow(
-        _cut_tiles, "k bigint, h bigint, octaves array<bigint>, start bigint, first bigint, stop bigint, words binary"
+        _cut_tiles(edit), "k bigint, h bigint, octaves array<bigint>, start bigint, first bigint, stop bigint, words binary"
     ).repartition("k", "h", "octaves", "start")
     # Rows equal in id and text give the same fragments.
     return short.unionByName(dealt.mapInArrow(_solve_tiles, _FRAGMENT)).distinct()
@@ -271,24 +278,31 @@ def _stitched(found: DataFrame) -> DataFrame:
     )
 
 
-def _collapsed(batch: pa.RecordBatch) -> pa.RecordBatch:
-    kept = []
-    for text, runs in zip(text_column(batch, "text").to_pylist(), batch.column("runs").to_pylist()):
-        # Splits at 0x20 and 0x09-0x0D alone, as bytes do.
-        words = text.encode().split()
-        if runs:
-            edge = np.zeros(len(words) + 1, np.int64)
-            np.add.at(edge, [r["start"] + r["period"] for r in runs], 1)
-            np.add.at(edge, [r["start"] + r["length"] for r in runs], -1)
-            words = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0)]
-        kept.append(b" ".join(words).decode())
-    names = [c for c in batch.schema.names if c != "text"]
-    return pa.RecordBatch.from_arrays(
-        [batch.column(c) for c in names] + [pa.array(kept, pa.large_string())], names=[*names, "collapsed"]
-    )
-
-
-def periodic_runs(docs: DataFrame) -> DataFrame:
+def _collapsed(edit: Edit | None):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        kept = []
+        ids = batch.column("doc_id").to_pylist()
+        for doc_id, text, runs in zip(ids, text_column(batch, "text").to_pylist(), batch.column("runs").to_pylist()):
+            # Splits at 0x20 and 0x09-0x0D alone, as bytes do.
+            words = text.encode().split()
+            places = edit(doc_id, len(words)) if edit else None
+            if runs:
+                edge = np.zeros(len(words) + 1, np.int64)
+                np.add.at(edge, [r["start"] + r["period"] for r in runs], 1)
+                np.add.at(edge, [r["start"] + r["length"] for r in runs], -1)
+                stay = np.flatnonzero(np.cumsum(edge[:-1]) == 0)
+                places = stay if places is None else places[stay]
+            if places is not None:
+                words = [words[i] for i in places.tolist()]
+            kept.append(b" ".join(words).decode())
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("runs"), pa.array(kept, pa.large_string())], names=["doc_id", "runs", "collapsed"]
+        )
+
+    return per_batch(work)
+
+
+def periodic_runs(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
     """doc_id, runs (array of start, period, length, by start and period) and collapsed of every document.
 
     Words are runs of anything but 0x20 and 0x09-0x0D, numbered from 0. ``collapsed`` is the
@@ -296,6 +310,7 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
     text has no words; without a run ``runs`` is empty. Rows repeated, under one doc_id or a
     null one too, come out alike, a row each. Other columns are not read, and an empty table
     gives no rows. Words are told apart by 64-bit hashes, stretches by two of 31 bits.
+    ``edit`` says which words of a document, by number, are taken in place of all in order.
     """
     prepared(docs.sparkSession)
     body = F.coalesce(F.col("text"), F.lit(""))
@@ -303,61 +318,40 @@ def periodic_runs(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("doc_id", F.lit(0)).cast("bigint").alias("k"),
         F.xxhash64(body, F.col("doc_id").isNull()).alias("h"), body.alias("text"),
     )
-    runs = _stitched(_fragments(rows.select("k", "h", "text")))
+    runs = _stitched(_fragments(rows, edit))
     run = "array<struct<start: bigint, period: bigint, length: bigint>>"
     none = F.array().cast(run)
     return rows.join(runs, ["k", "h"], "left").select("doc_id", "text", F.coalesce("runs", none).alias("runs")).mapInArrow(
-        per_batch(_collapsed), f"doc_id bigint, runs {run}, collapsed string"
+        _collapsed(edit), f"doc_id bigint, runs {run}, collapsed string"
     )
 
 
-@per_batch
-def _planted(batch: pa.RecordBatch) -> pa.RecordBatch:
-    out = []
-    for doc_id, text in zip(batch.column("doc_id").to_pylist(), text_column(batch, "text").to_pylist()):
-        h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
-        words = text.encode().split() if h is not None and h % 10 == 0 else []
-        if words:
-            n, g = len(words), h // 10
-            a = g % n
-            p = 1 + (n - a) // (TIMES + g % 8)
-            text = b" ".join(words[:a] + [words[a + i % p] for i in range(n - a)]).decode()
-        out.append(text)
-    return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.large_string())], names=["doc_id", "text"])
-
-
-def with_planted_runs(docs: DataFrame) -> DataFrame:
-    """doc_id and text, where one document of ten, by a checksum of its id, repeats itself from some word on.
-
-    A null text is an empty one; documents with a null doc_id stay as they are.
-    """
-    prepared(docs.sparkSession)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
-        _planted, "doc_id bigint, text string"
-    )
-
+def planted(doc_id: int | None, n: int) -> np.ndarray | None:
+    """Places of the n words of a document that, for one of ten by a checksum of its id, repeats itself from some word on.
 
-@per_batch
-def _digests(batch: pa.RecordBatch) -> pa.RecordBatch:
-    rows = []
-    for runs in batch.column("runs").to_pylist():
-        best = max(runs, key=lambda r: (Fraction(r["length"], r["period"]), -r["start"], -r["period"]), default=None)
-        top = (None,) * 4 if best is None else (
-            best["start"], best["length"], best["period"], 1000 * best["length"] // best["period"])
-        text = "".join(f"{r['start']},{r['length']},{r['period']}\n" for r in runs)
-        rows.append((len(runs), *top, hashlib.sha256(text.encode()).hexdigest()))
-    names = ("n_runs", "start", "length", "period", "exponent_milli")
-    return pa.RecordBatch.from_arrays(
-        [batch.column("doc_id"), *(pa.array([r[i] for r in rows], pa.int64()) for i in range(5)),
-         pa.array([r[5] for r in rows]), batch.column("collapsed_sha256")],
-        names=["doc_id", *names, "runs_sha256", "collapsed_sha256"],
-    )
+    None where a document stays as it is, as without words or with a null id.
+    """
+    h = 1 if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h % 10 or not n:
+        return None
+    g = h // 10
+    a = g % n
+    places = np.arange(n)
+    places[a:] = a + (places[a:] - a) % (1 + (n - a) // (TIMES + g % 8))
+    return places
 
 
-def digest(docs: DataFrame) -> DataFrame:
+def digest(docs: DataFrame, edit: Edit | None = None) -> DataFrame:
     """Per document: number of runs, the one of most periods, and digests of all runs and of the words kept."""
-    found = periodic_runs(docs).select("doc_id", "runs", F.sha2("collapsed", 256).alias("collapsed_sha256"))
-    return found.mapInArrow(
-        _digests, "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
-        "runs_sha256 string, collapsed_sha256 string"
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    # Runs stand by start and period, so the first of equal ones stays.
+    best = F.reduce(
+        "runs", F.get("runs", F.lit(0)),
+        lambda top, r: F.when(r["length"] * top["period"] > top["length"] * r["period"], r).otherwise(top),
+    )
+    return periodic_runs(docs, edit).withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )

@@ -76,7 +76,7 @@ def op10_fingerprints(spark, sf_dir):
 
 @query
 def op11_periodic_runs(spark, sf_dir):
-    return periodic.digest(periodic.with_planted_runs(table(spark, sf_dir, "documents")))
+    return periodic.digest(table(spark, sf_dir, "documents"), periodic.planted)
 
 
 @with_sql(top_scores.SQL)
