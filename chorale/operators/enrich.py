@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,6 +43,48 @@ def score_column(score: Callable[[str], Mapping[str, float] | None], text: Colum
     return run(text)
 
 
+def loaded_scores(
+    load: Callable[[], Callable[[Sequence[str]], Sequence[Mapping[str, float] | None]]], text: Column
+) -> Column:
+    """Scores of a model that is loaded once per task and takes many texts at a time (UDF-1).
+
+    ``load`` runs in the worker before its first text and gives a function from a list of
+    texts to their scores, one entry each. Where that function fails on a list, its texts
+    are scored one by one, so only those that fail themselves come out with null scores and
+    an ``error``. Null texts are not handed to it and have neither.
+    """
+
+    def one_by_one(score, texts: list[str]) -> list[tuple]:
+        rows = []
+        for t in texts:
+            try:
+                rows.append((score([t])[0], None))
+            except Exception as problem:
+                rows.append((None, f"{type(problem).__name__}: {problem}"))
+        return rows
+
+    @F.arrow_udf("scores map<string,double>, error string")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        score = load()
+        kind = pa.struct([("scores", pa.map_(pa.string(), pa.float64())), ("error", pa.string())])
+        for batch in batches:
+            texts = batch.to_pylist()
+            given = [t for t in texts if t is not None]
+            try:
+                scored = [(s, None) for s in score(given)] if given else []
+                if len(scored) != len(given):
+                    raise ValueError(f"{len(scored)} scores of {len(given)} texts")
+            except Exception:
+                scored = one_by_one(score, given)
+            left = iter(scored)
+            rows = [next(left) if t is not None else (None, None) for t in texts]
+            yield pa.array(
+                [{"scores": None if s is None else [(k, float(v)) for k, v in s.items()], "error": e} for s, e in rows], kind
+            )
+
+    return run(text)
+
+
 def lexicon_scores(posts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean term weight per post and tone, held to 0–1, in long form.
 

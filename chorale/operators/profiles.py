@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chorale.functions import text as tx
 from chorale.functions import vectors as vx
 from chorale.operators.rows import first_per_group, unpivot_row
+from chorale.operators.running import running_sums
 
 
 def recent_per_user(
@@ -28,8 +29,8 @@ def author_corpus(
 ) -> DataFrame:
     """ASCII copy of all of a user's own posts in one text, by time (AGG-8, FIL-10).
 
-    The text of a user is one value, so it has to fit in a task; to take the latest
-    posts only, put :func:`recent_per_user` in front. Reposts and replies are left out,
+    The text of a user is one value, so it has to fit in a task; :func:`corpus_parts` is
+    for users of any size, and :func:`recent_per_user` in front takes the latest posts. Reposts and replies are left out,
     and users with too few words.
     """
     own = posts.where(~F.col("is_repost") & ~F.col("is_reply"))
@@ -47,6 +48,40 @@ def author_corpus(
     )
 
 
+def corpus_parts(
+    posts: DataFrame,
+    order: str = "created_at",
+    more_than: int = 100,
+    user: str = "userid",
+    part_chars: int = 1 << 20,
+) -> DataFrame:
+    """(user, part, n_posts, text): a user's corpus, by time, in parts of bounded size (AGG-8, FIL-10).
+
+    The same texts, posts and users as :func:`author_corpus`, for users of any size. A post
+    belongs to the part its first character lies in, when a user's corpus is cut every
+    ``part_chars`` characters, so parts are told from the data alone; a part is longer than
+    that by one post at most, and a long post can leave part numbers out. Null texts count
+    as empty here.
+    """
+    own = posts.where(~F.col("is_repost") & ~F.col("is_reply"))
+    texts = own.select(user, order, F.coalesce(tx.ascii_only(F.col("text")), F.lit("")).alias("text"))
+    sized = texts.withColumn("_size", (F.length("text") + 1).cast("bigint"))
+    placed = running_sums(sized, user, [F.col(order), F.col("text")], "_size")
+    part = F.expr(f"size_before div {part_chars}").alias("part")
+    parts = (
+        placed.select(user, order, "text", part)
+        .groupBy(user, "part")
+        .agg(F.array_sort(F.collect_list(F.struct(order, "text"))).alias("_posts"))
+        .select(
+            user, "part", F.size("_posts").cast("bigint").alias("n_posts"),
+            F.array_join(F.transform("_posts", lambda p: p["text"]), "\n").alias("text"),
+        )
+    )
+    # Posts are parted by a line end, so their words add up.
+    wordy = texts.groupBy(user).agg(F.sum(tx.word_count(F.col("text"))).alias("_words")).where(F.col("_words") > more_than)
+    return parts.join(wordy.select(user), user, "left_semi")
+
+
 def describe_traits(profiles: DataFrame, traits: Mapping[str, Column]) -> DataFrame:
     """count, mean, stddev, min and max of each trait, in one pass (AGG-9)."""
     measures = {

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chorale.session import scratch_root
+from chorale.session import stored
 
 BLOCK_MS = 600_000  # length of a block, whatever the gap
 NEVER = np.iinfo("int64").min // 2
@@ -37,13 +37,6 @@ def millis(df: DataFrame, ts: str) -> Column:
     return F.unix_millis(ts)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows in the shared checkpoint folder, which Spark can clean; lineage ends there."""
-    if df.sparkSession.sparkContext.getCheckpointDir() is None:
-        df.sparkSession.sparkContext.setCheckpointDir(scratch_root(df.sparkSession))
-    return df.checkpoint()
-
-
 def _summaries(gap: int, block_ms: int):
     """Per block: (latest first-forwarded time, time of the block's last forward).
 
@@ -192,24 +185,3 @@ def throttle(
         .select("key", F.explode(F.transform("_kept", lambda i: F.get("rows", i))).alias("r"))
         .select("key", "r.ms", "r.message_id")
     )
-
-
-def left_out(messages: DataFrame, key: str, ts: str, carry: DataFrame | None = None) -> DataFrame:
-    """One row: null_keys, null_times (of the others) and late messages, from before the last one sent."""
-    rows = messages.select(F.col(key).alias("key"), millis(messages, ts).alias("ms"))
-    if carry is None:
-        rows = rows.withColumn("sent_ms", F.lit(None).cast("bigint"))
-    else:
-        rows = rows.join(carry.select("key", "sent_ms"), "key", "left")
-    return rows.agg(
-        F.count_if(F.col("key").isNull()).alias("null_keys"),
-        F.count_if(F.col("key").isNotNull() & F.col("ms").isNull()).alias("null_times"),
-        F.count_if(F.col("ms") < F.col("sent_ms")).alias("late"),
-    )
-
-
-def last_sent(forwarded: DataFrame, carry: DataFrame | None = None) -> DataFrame:
-    """(key, sent_ms) to carry into the next run."""
-    now = forwarded.select("key", F.col("ms").alias("sent_ms"))
-    both = now if carry is None else now.unionByName(carry.select("key", "sent_ms"))
-    return both.groupBy("key").agg(F.max("sent_ms").alias("sent_ms"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from chorale import sinks
 from chorale.functions.scores import score_columns
 from chorale.operators import enrich, tags
+from chorale.operators import tagstate as tg
 from chorale.plans import report_queries as rq
 from chorale.plans import stream_queries, views
 from chorale.plans.registry import query
@@ -113,8 +114,7 @@ def words_not_in_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def topic_channel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The running job's top tags as side-channel rows (SNK-7)."""
-    out, _, _ = stream_queries._metrics_run(spark, sf_dir)
+    out, _ = stream_queries._metrics_run(spark, sf_dir)
     messages = spark.read.parquet(out)
-    rows = sinks.topic_channel(messages.select("topic", "value")).distinct()
-    sent = messages.join(rows, (messages["value"] == rows["payload"])).where("channel = 'topHashtags' and topic = 'topHashTags'")
-    return sent.select("batch_id", "channel", "payload")
+    sent = sinks.topic_channel(messages, keep=("batch_id",))
+    return sent.where(F.col("channel") == sinks.CHANNEL_OF_TOPIC[tg.TOPIC_TAGS])

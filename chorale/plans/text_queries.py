@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale import sinks
 from chorale.functions import text as tx
-from chorale.operators import enrich, numbers, profiles, rows, tags, tones
+from chorale.operators import enrich, frequent, numbers, profiles, rows, tags, terms, tones
 from chorale.plans import views
 from chorale.plans.registry import query
 from chorale.plans.views import with_views
@@ -241,6 +241,22 @@ def author_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profiles.author_corpus(views.document_posts(spark, sf_dir))
 
 
+@query(
+    """WITH own AS (
+        SELECT d.source AS userid, d.doc_id, regexp_replace(d.text, '[^\\x00-\\x7F]', '', 'g') AS part
+        FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+        WHERE coalesce(l.toxic, 0) <> 1 AND coalesce(l.quality, 1) <> 0),
+    placed AS (
+        SELECT *, sum(length(part) + 1) OVER (PARTITION BY userid ORDER BY doc_id) - length(part) - 1 AS before FROM own)
+    SELECT userid, CAST(before // 65536 AS BIGINT) AS part, count(*) AS n_posts, string_agg(part, chr(10) ORDER BY doc_id) AS text
+    FROM placed WHERE userid IN (SELECT userid FROM own GROUP BY 1 HAVING sum(len(regexp_extract_all(part, '\\w+'))) > 100)
+    GROUP BY 1, 2"""
+)
+def author_corpus_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every author's whole corpus in parts of 64 Ki characters."""
+    return profiles.corpus_parts(views.document_posts(spark, sf_dir), part_chars=1 << 16)
+
+
 @query(_CORPUS.format("rn <= 200"))
 def recent_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same of every author's latest 200 posts."""
@@ -335,3 +351,75 @@ def lexicon_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = enrich.lexicon_scores(documents, lexicon, "doc_id")
     return scored.withColumn("score", F.round("score", 9))
+
+
+_TERMS = """WITH terms AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '\\w+')) AS term FROM benchmark)"""
+
+
+def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    word = F.regexp_extract_all(F.lower("text"), F.lit(r"(\w+)"), F.lit(1))
+    return views.table(spark, sf_dir, "benchmark").select(F.explode(word).alias("term"))
+
+
+@query(
+    _TERMS
+    + """ SELECT term, count(*) AS n, CAST(sum(doc_id) AS BIGINT) AS ids
+    FROM documents JOIN terms ON contains(lower(text), term) GROUP BY term"""
+)
+def term_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts that hold each of all benchmark words as a substring (FIL-13, JOIN-5)."""
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = terms.term_matches(documents, "doc_id", F.lower("text"), _terms(spark, sf_dir))
+    return found.groupBy("term").agg(F.count("*").alias("n"), F.sum("doc_id").alias("ids"))
+
+
+@query(
+    _TERMS
+    + """, labelled AS (SELECT 'length ' || CAST(length(term) AS VARCHAR) AS label, term FROM terms WHERE length(term) > 7)
+    SELECT label, count(DISTINCT doc_id) AS n FROM documents JOIN labelled ON contains(lower(text), term) GROUP BY 1"""
+)
+def term_label_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Numbers of texts per label, for labels with a term table (PRJ-7)."""
+    documents = views.table(spark, sf_dir, "documents").select("doc_id", "text")
+    label = F.concat(F.lit("length "), F.length("term").cast("string")).alias("label")
+    labelled = _terms(spark, sf_dir).where(F.length("term") > 7).select(label, "term")
+    return terms.label_matches(documents, "doc_id", F.lower("text"), labelled).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT word, count(*) AS n FROM (SELECT unnest(regexp_split_to_array(text, '\\s+')) AS word FROM documents)
+    WHERE word <> '' GROUP BY word ORDER BY n DESC, word LIMIT 10"""
+)
+def heavy_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten most frequent tokens, counted only where a summary of bounded size allows them to be (TOP-1)."""
+    words = views.table(spark, sf_dir, "documents").select(F.explode(tx.tokens(F.col("text"))).alias("word"))
+    return frequent.top_frequent(words.where("word <> ''"), "word", 10)
+
+
+@query(
+    """SELECT source, count(*) AS n, count(*) FILTER (WHERE text IS NOT NULL AND NOT contains(text, ' the ')) AS failed,
+        count(*) FILTER (WHERE contains(text, ' the ')) AS scored,
+        CAST(sum(CASE WHEN contains(text, ' the ') THEN length(text) END) AS DOUBLE) AS total
+    FROM documents GROUP BY 1"""
+)
+def scored_with_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scorer loaded once a task that fails on some texts; failures are kept and counted (UDF-1)."""
+
+    def load():
+        import re
+
+        wanted = re.compile(" the ")
+
+        def score(texts):
+            if not all(wanted.search(t) for t in texts):
+                raise ValueError("no article")
+            return [{"chars": float(len(t))} for t in texts]
+
+        return score
+
+    documents = views.table(spark, sf_dir, "documents").select("source", "text")
+    scored = documents.select("source", enrich.loaded_scores(load, F.col("text")).alias("s"))
+    return scored.groupBy("source").agg(
+        F.count("*").alias("n"), F.count("s.error").alias("failed"), F.count("s.scores").alias("scored"),
+        F.sum(F.element_at("s.scores", "chars")).alias("total"),
+    )

@@ -153,6 +153,19 @@ def sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def timed_sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Polarity records with a time in the week after their message, and when they arrive: one of seven 30 days late."""
+    flag, key = F.col("l_returnflag"), F.col("l_orderkey")
+    lines, o = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
+    scored = (F.col("o_orderdate") + F.make_dt_interval(F.col("l_linenumber") % 6, key % 24)).cast("timestamp")
+    return lines.join(o, lines.l_orderkey == o.o_orderkey).select(
+        key.alias("MESSAGE_ID"),
+        F.when(flag == "A", "POSITIVE").when(flag == "N", "AMBIVALENT").otherwise("NEGATIVE").alias("SENTIMENT_POLARITY"),
+        scored.alias("SCORED"),
+        (scored + F.make_dt_interval(F.when(F.col("l_partkey") % 7 == 0, 30).otherwise(0))).alias("ARRIVED"),
+    )
+
+
 def user_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as short posts of their supplier; some are reposts or replies."""
     return table(spark, sf_dir, "lineitem").select(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -40,13 +41,13 @@ def build_session(app: str = "chorale", master: str | None = None, **extra: str)
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a temporary folder of its
-    own, since executors of a real cluster would not see it.
+    Only a session of a single JVM without that setting gets a temporary folder of
+    its own, since executors of a cluster, a local one too, would not see it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
         return shared.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     root = tempfile.mkdtemp(prefix="chorale-")
     spark.conf.set("spark.checkpoint.dir", root)
@@ -58,6 +59,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """The rows in the shared checkpoint folder, which Spark can clean; lineage ends there."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(scratch_root(df.sparkSession))
+    return df.checkpoint()
+
+
 @contextmanager
 def settings(spark: SparkSession, values: dict[str, str]):
     """Session settings for the time of a block."""

@@ -72,11 +72,11 @@ def post_channel(posts: DataFrame, scores: str = "scores") -> DataFrame:
     )
 
 
-def topic_channel(messages: DataFrame) -> DataFrame:
-    """Topic messages as (channel, payload) rows (SNK-7)."""
+def topic_channel(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Topic messages as (channel, payload) rows, after the columns to keep (SNK-7)."""
     names = F.create_map(*[F.lit(x) for pair in CHANNEL_OF_TOPIC.items() for x in pair])
     return messages.select(
-        F.element_at(names, F.col("topic")).alias("channel"), F.col("value").alias("payload")
+        *keep, F.element_at(names, F.col("topic")).alias("channel"), F.col("value").alias("payload")
     )
 
 

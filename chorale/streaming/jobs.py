@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import threading
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
@@ -61,15 +62,22 @@ class StreamJob:
 class ProgressLog(StreamingQueryListener):
     """Lifecycle and batch rows of the session's queries, appended to a table (STR-8).
 
-    Rows wait until ``every`` of them are there, or :meth:`frame` asks for the table.
+    A batch row has the numbers of rows read and of late rows dropped, and ``observed``: the
+    whole numbers that the batch's plan reported by ``DataFrame.observe``, by metric and
+    column, which Spark gathers while the batch runs. Rows wait until ``every`` of them are
+    there, or :meth:`frame` asks for the table.
     """
 
-    SCHEMA = "query string, event string, batch_id bigint, rows bigint, error string"
+    SCHEMA = (
+        "query string, event string, batch_id bigint, rows bigint, late bigint, observed map<string,bigint>, error string"
+    )
 
     def __init__(self, spark: SparkSession, path: str, every: int = 100):
         self._spark, self.path, self._every = spark, path, every
         self._waiting: list[tuple] = []
         self._lock = threading.Lock()
+        self._stopped: dict[str, int] = {}
+        self._news = threading.Condition()
 
     def _add(self, *row) -> None:
         with self._lock:
@@ -78,17 +86,31 @@ class ProgressLog(StreamingQueryListener):
             self.flush()
 
     def onQueryStarted(self, event) -> None:
-        self._add(str(event.id), "started", None, None, None)
+        self._add(str(event.id), "started", None, None, None, None, None)
 
     def onQueryProgress(self, event) -> None:
         p = event.progress
-        self._add(str(p.id), "batch", p.batchId, p.numInputRows, None)
+        observed = {
+            f"{name}.{column}": int(value)
+            for name, row in p.observedMetrics.items()
+            for column, value in row.asDict().items() if isinstance(value, int)
+        }
+        late = sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+        self._add(str(p.id), "batch", p.batchId, p.numInputRows, late, observed, None)
 
     def onQueryIdle(self, event) -> None:
         pass
 
     def onQueryTerminated(self, event) -> None:
-        self._add(str(event.id), "stopped", None, None, event.exception)
+        self._add(str(event.id), "stopped", None, None, None, None, event.exception)
+        with self._news:
+            self._stopped[str(event.id)] = self._stopped.get(str(event.id), 0) + 1
+            self._news.notify_all()
+
+    def wait_stopped(self, query: StreamingQuery, times: int = 1, seconds: float = 60) -> bool:
+        """Wait until the query's end has been reported, which comes after all its batches; False when it was not."""
+        with self._news:
+            return self._news.wait_for(lambda: self._stopped.get(str(query.id), 0) >= times, seconds)
 
     def flush(self) -> None:
         with self._lock:
@@ -99,3 +121,14 @@ class ProgressLog(StreamingQueryListener):
     def frame(self, spark: SparkSession) -> DataFrame:
         self.flush()
         return spark.read.schema(self.SCHEMA).parquet(self.path)
+
+
+@contextmanager
+def watched(spark: SparkSession, path: str) -> Iterator[ProgressLog]:
+    """A progress log that listens for the time of a block."""
+    log = ProgressLog(spark, path)
+    spark.streams.addListener(log)
+    try:
+        yield log
+    finally:
+        spark.streams.removeListener(log)

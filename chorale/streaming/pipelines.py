@@ -10,9 +10,9 @@ from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 from chorale.functions.scores import score_columns
 from chorale.operators import tagstate as tg
-from chorale.operators import throttle as th
 from chorale.operators.rows import admit
 from chorale.schemas import POST_BASE
+from chorale.session import cached
 from chorale.sources import streams
 from chorale.streaming.state import Snapshot
 from chorale.streaming.tags import TAG_STATE
@@ -55,11 +55,15 @@ def capture(posts: DataFrame, path: str, checkpoint: str, by: Sequence[str] = ()
 def write_batches(
     posts: DataFrame, checkpoint: str, write: Callable[[DataFrame, int], None]
 ) -> DataStreamWriter:
-    """Hand each non-empty micro-batch to a batch writer (SNK-5, FIL-14)."""
+    """Hand each non-empty micro-batch to a batch writer (SNK-5, FIL-14).
+
+    The batch is kept while it is looked at and written, so its plan runs once.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            write(batch, batch_id)
+        with cached(batch):
+            if not batch.isEmpty():
+                write(batch, batch_id)
 
     return posts.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
 
@@ -74,6 +78,23 @@ def running_total(posts: DataFrame, key: str = tg.TOTAL) -> DataFrame:
     return posts.groupBy(F.lit(key).alias("key")).agg(F.count("*").alias("count"))
 
 
+def published_total(posts: DataFrame, checkpoint: str, publish: Callable[[DataFrame, int], None]) -> DataStreamWriter:
+    """Publish the number of rows seen so far after every batch (AGG-29, STR-2).
+
+    The total is one row of the state store, so a batch reads its own rows only.
+    """
+
+    def each(total: DataFrame, batch_id: int) -> None:
+        publish(tg.total_message(total), batch_id)
+
+    return (
+        running_total(posts)
+        .writeStream.outputMode("complete")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(each)
+    )
+
+
 def write_message_folder(path: str) -> Callable[[DataFrame, int], None]:
     """Message rows of a batch to their own folder, so a retry replaces them."""
 
@@ -126,36 +147,3 @@ def running_metrics(
         .writeStream.option("checkpointLocation", checkpoint)
         .foreachBatch(each)
     )
-
-
-def throttled(
-    messages: DataFrame,
-    key: str,
-    ts: str,
-    message_id: str,
-    state_path: str,
-    checkpoint: str,
-    publish: Callable[[DataFrame, int], None],
-    gap_ms: int = 200,
-) -> DataStreamWriter:
-    """Forward messages at a minimum gap per key, across batches (STR-9).
-
-    Messages without key or time and late ones are counted per batch, as JSON in
-    ``left_out`` beside the state.
-    """
-    kind = messages.schema[key].dataType.simpleString()
-    sent = Snapshot(state_path, f"key {kind}, sent_ms bigint")
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        carry = sent.before(spark, batch_id)
-        forwarded = th.throttle(batch, key, ts, message_id, gap_ms, carry).persist()
-        try:
-            publish(forwarded, batch_id)
-            counts = th.left_out(batch, key, ts, carry).coalesce(1)
-            counts.write.mode("overwrite").json(f"{state_path.rstrip('/')}/left_out/batch_id={batch_id}")
-            sent.fold(spark, batch_id, lambda before: th.last_sent(forwarded, before))
-        finally:
-            forwarded.unpersist()
-
-    return messages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(each)
