@@ -13,7 +13,11 @@ Scorer = Callable[[DataFrame], DataFrame]
 
 
 def enrich(posts: DataFrame, scorer: Scorer, key: str) -> DataFrame:
-    """Posts with a ``scores`` map; a post the scorer says nothing of keeps null."""
+    """Posts with a ``scores`` map; a post the scorer says nothing of keeps null.
+
+    The join moves the columns that are asked for afterwards: a report that reads no text
+    moves none.
+    """
     return posts.join(scorer(posts), key, "left")
 
 
@@ -88,16 +92,13 @@ def loaded_scores(
 def lexicon_scores(posts: DataFrame, lexicon: DataFrame, key: str, text: str = "text") -> DataFrame:
     """Mean term weight per post and tone, held to 0–1, in long form.
 
-    ``lexicon`` has (term, tone, weight). A lexicon Spark finds small enough to
-    broadcast drops the other words where they are read, before any shuffle; a
-    larger one is joined by term. A term is a row per post, however often it occurs there:
-    the rows of a post are counted before the join, and the mean is weighed by the counts.
+    ``lexicon`` has (term, tone, weight). Words go from the text into the join, with no
+    shuffle of their own before it: a lexicon Spark finds small enough to broadcast drops the
+    others where they are read, and what is left is added up per post and tone there; a larger
+    one is joined by term, where the words of a common term are split by AQE.
     """
-    words = (
-        posts.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))).alias("term"))
-        .groupBy(key, "term").agg(F.count("*").alias("times"))
-    )
-    mean = F.sum(F.col("weight") * F.col("times")) / F.sum("times")
+    words = posts.select(key, F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"\w+"), F.lit(0))).alias("term"))
+    mean = F.avg("weight")
     return (
         words.join(lexicon, "term")
         .groupBy(key, "tone")

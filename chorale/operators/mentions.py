@@ -38,9 +38,7 @@ def label_names(groups: Sequence[Sequence[str]]) -> list[str]:
     return [variants[0].upper() for variants in groups]
 
 
-def message_polarity(
-    messages: DataFrame, sentiments: DataFrame, neutral_as: int = -1, strands: int = 1
-) -> DataFrame:
+def message_polarity(messages: DataFrame, sentiments: DataFrame, neutral_as: int = -1) -> DataFrame:
     """Messages with their mean polarity and its label (JOIN-1/2, AGG-10).
 
     The records are averaged first and joined once. A repeated message id would
@@ -48,9 +46,9 @@ def message_polarity(
     the grouping, and the shuffle carries one row per message and map task.
     Messages without records drop out.
 
-    Message ids are taken to be unique. Where one may be repeated very often,
-    ``strands`` splits its messages over so many tasks and repeats the (small)
-    means for each; AQE cannot, as the means are grouped in the same stage.
+    A message id may be repeated very often. AQE splits such an id where both sides of the
+    join come straight from an exchange, so the means get one of their own, by a second key
+    that follows from the id; where Spark broadcasts them it falls away.
     """
     means = (
         sentiments.groupBy("MESSAGE_ID")
@@ -61,11 +59,8 @@ def message_polarity(
         )
         .withColumn("SENTIMENT", ms.polarity_label(F.col("SENTIMENT_POLARITY")))
     )
-    if strands == 1:
-        return messages.join(means, "MESSAGE_ID")
-    split = messages.withColumn("_strand", F.spark_partition_id() % strands)
-    each = F.explode(F.sequence(F.lit(0), F.lit(strands - 1))).alias("_strand")
-    return split.join(means.select("*", each), ["MESSAGE_ID", "_strand"]).drop("_strand")
+    twin = F.hash("MESSAGE_ID")
+    return messages.withColumn("_twin", twin).join(means.withColumn("_twin", twin), ["MESSAGE_ID", "_twin"]).drop("_twin")
 
 
 def clean_messages(joined: DataFrame) -> DataFrame:

@@ -127,20 +127,36 @@ def fold_state(state: DataFrame | None, metrics: DataFrame, running_mean: bool =
     )
 
 
+# After so many halvings less than 1e-299 is left of a mean. Spark takes a window's limit
+# before the shuffle up to this number.
+HALVINGS = 1000
+
+
 def state_of_batches(metrics: DataFrame, batch: str) -> DataFrame:
     """The state a run over all batches in order ends with, in one plan.
 
     A mean taken in a tag's i-th of m batches is halved m-i+1 times, so the
-    fold over batches is one weighted sum: (tag, tone, count, score).
+    fold over batches is one weighted sum: (tag, tone, count, score). What batches
+    further back than ``HALVINGS`` weigh is taken for zero, so the window holds that
+    many rows of a tag and Spark drops the others before the shuffle; counts and
+    tones are taken over all batches by a grouping.
     """
     later = Window.partitionBy("tag").orderBy(F.desc(batch))
-    weighted = metrics.withColumn("_weight", F.pow(F.lit(0.5), F.row_number().over(later)))
-    counts = F.sum("count").over(Window.partitionBy("tag"))
-    return (
-        weighted.withColumn("_total", counts)
-        .select("tag", "_total", "_weight", F.explode("scores").alias("tone", "mean"))
+    recent = (
+        metrics.select("tag", batch, "scores")
+        .withColumn("_back", F.row_number().over(later))
+        .where(F.col("_back") <= HALVINGS)
+        .select("tag", F.pow(F.lit(0.5), "_back").alias("_weight"), F.explode("scores").alias("tone", "mean"))
         .groupBy("tag", "tone")
-        .agg(F.max("_total").alias("count"), F.sum(F.col("mean") * F.col("_weight")).alias("score"))
+        .agg(F.sum(F.col("mean") * F.col("_weight")).alias("score"))
+    )
+    # Sets of tone names: tones are few.
+    every = metrics.groupBy("tag").agg(
+        F.sum("count").alias("count"), F.array_distinct(F.flatten(F.collect_set(F.map_keys("scores")))).alias("tones")
+    )
+    listed = every.select("tag", "count", F.explode("tones").alias("tone"))
+    return listed.join(recent, ["tag", "tone"], "left").select(
+        "tag", "tone", "count", F.coalesce("score", F.lit(0.0)).alias("score")
     )
 
 

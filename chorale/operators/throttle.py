@@ -7,8 +7,9 @@ would leave off for every way of entering it, the starts of these summaries are
 linked to those that follow by pointer doubling in joins, and the blocks then
 replay in parallel from their known entry.
 
-Group sizes are bounded by time, not by rows: a key holds one row per
-millisecond after the first grouping and a block ``block_ms`` of them at most.
+Blocks are several gaps long, so that few messages are starts, but only as long as no
+block of a key has more than ``BLOCK_ROWS`` messages, which is counted first. Blocks of the
+shortest length hold a row per millisecond at most, and no row holds more than a block.
 Starts are rows, within the first gap of a block; only the look-up of the next
 block that has messages goes through a key's blocks in order, one row for each.
 """
@@ -23,7 +24,9 @@ from pyspark.sql import types as T
 
 from chorale.session import stored
 
-BLOCK_MS = 600_000  # length of a block, whatever the gap
+BLOCK_MS = 600_000  # shortest length of a block
+BLOCK_GAPS = 8  # gaps of a block, where its messages are few enough for that
+BLOCK_ROWS = 100_000  # messages of one key in a block longer than the shortest
 NEVER = np.iinfo("int64").min // 2
 
 
@@ -143,6 +146,21 @@ def _replay(gap: int):
     return replay
 
 
+def block_length(timed: DataFrame, gap: int) -> int:
+    """Milliseconds of a block for messages (key, ms): the shortest, doubled while blocks stay small and not beyond the gaps wanted."""
+    levels = 0
+    while BLOCK_MS << levels < BLOCK_GAPS * gap:
+        levels += 1
+    if not levels:
+        return BLOCK_MS
+    short = timed.groupBy("key", F.floor(F.col("ms") / BLOCK_MS).cast("bigint").alias("block")).agg(F.count("*").alias("n"))
+    doubled = short.select("key", "block", "n", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level"))
+    longer = doubled.groupBy("level", "key", F.expr("shiftright(block, level)")).agg(F.sum("n").alias("n"))
+    # One row per length.
+    fullest = {r["level"]: r["n"] for r in longer.groupBy("level").agg(F.max("n").alias("n")).collect()}
+    return BLOCK_MS << max([0, *(k for k, n in fullest.items() if n <= BLOCK_ROWS)])
+
+
 def throttle(
     messages: DataFrame,
     key: str,
@@ -158,7 +176,6 @@ def throttle(
     two of them can both be forwarded. ``carry`` gives (key, sent_ms) of earlier
     runs. Join the result back on the message id for whole rows.
     """
-    block_ms = block_ms or BLOCK_MS
     timed = messages.select(
         F.col(key).alias("key"), millis(messages, ts).alias("ms"), F.col(message_id).alias("_id")
     ).where(F.col("key").isNotNull() & F.col("ms").isNotNull())
@@ -167,6 +184,7 @@ def throttle(
         timed = timed.join(carry.select("key", "sent_ms"), "key", "left").where(
             F.col("sent_ms").isNull() | (F.col("ms") > F.col("sent_ms") + gap_ms)
         )
+    block_ms = block_ms or block_length(timed.select("key", "ms"), gap_ms)
     per_ms = timed.groupBy("key", "ms").agg(F.min("_id").alias("message_id"))
     block = F.floor(F.col("ms") / block_ms).cast("bigint")
     blocks = stored(
@@ -185,3 +203,24 @@ def throttle(
         .select("key", F.explode(F.transform("_kept", lambda i: F.get("rows", i))).alias("r"))
         .select("key", "r.ms", "r.message_id")
     )
+
+
+def left_out(messages: DataFrame, key: str, ts: str, carry: DataFrame | None = None) -> DataFrame:
+    """One row: null_keys, null_times (of the others) and late messages, from before the last one sent."""
+    rows = messages.select(F.col(key).alias("key"), millis(messages, ts).alias("ms"))
+    if carry is None:
+        rows = rows.withColumn("sent_ms", F.lit(None).cast("bigint"))
+    else:
+        rows = rows.join(carry.select("key", "sent_ms"), "key", "left")
+    return rows.agg(
+        F.count_if(F.col("key").isNull()).alias("null_keys"),
+        F.count_if(F.col("key").isNotNull() & F.col("ms").isNull()).alias("null_times"),
+        F.count_if(F.col("ms") < F.col("sent_ms")).alias("late"),
+    )
+
+
+def last_sent(forwarded: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+    """(key, sent_ms) to carry into the next run."""
+    now = forwarded.select("key", F.col("ms").alias("sent_ms"))
+    both = now if carry is None else now.unionByName(carry.select("key", "sent_ms"))
+    return both.groupBy("key").agg(F.max("sent_ms").alias("sent_ms"))

@@ -32,7 +32,7 @@ def test_polarity_keeps_repeated_messages_like_a_join_first_plan(spark):
     expected = sorted(tuple(r) for r in messages.join(first, "MESSAGE_ID").select("n", "p").collect())
     ours = mentions.message_polarity(messages, records).select("n", "SENTIMENT_POLARITY").collect()
     assert sorted(tuple(r) for r in ours) == expected
-    split = mentions.message_polarity(messages.repartition(4), records, strands=3)
+    split = mentions.message_polarity(messages.repartition(4), records)
     assert sorted(tuple(r) for r in split.select("n", "SENTIMENT_POLARITY").collect()) == expected
     assert split.columns == ["MESSAGE_ID", "n", "SENTIMENT_POLARITY", "SENTIMENT"]
 

@@ -1,4 +1,5 @@
 import json
+import random
 import time
 
 import pytest
@@ -12,10 +13,12 @@ from chorale.operators import tagstate as tg
 from chorale.plans import views
 from chorale.session import cached, scratch_root
 from chorale.sources import streams, tables
+from chorale.sinks import channel
+from chorale.streaming import joins, tags, windows
 from chorale.streaming import pipelines as pl
-from chorale.streaming import tags
-from chorale.streaming.jobs import ProgressLog, StreamJob
+from chorale.streaming.jobs import ProgressLog, StreamJob, watched
 from chorale.streaming.state import Snapshot
+from chorale.streaming.throttle import throttled
 
 POSTS = "id bigint, lang string, text string, scores map<string,double>"
 
@@ -204,18 +207,72 @@ def test_documents_stream(spark, tmp_path):
     assert doc == {"author": "a", "date": "d", "language": "en", "text": "t", "geo": {"lat": 1.0, "long": 2.0}}
 
 
+def _throttled(spark, tmp_path, name, late="0 seconds", gap=200):
+    (tmp_path / name).mkdir()
+    stream = _source(spark, str(tmp_path / name), "k string, id bigint, ms bigint").withColumn("ts", F.timestamp_millis("ms"))
+    out = str(tmp_path / f"{name}-out")
+    rows = throttled(stream, "k", "ts", "id", gap, late)
+    return out, lambda: pl.capture(rows, out, str(tmp_path / f"{name}-cp"))
+
+
+def _sent(spark, out):
+    return sorted(tuple(r) for r in spark.read.schema("key string, ms bigint, message_id bigint").parquet(out).collect())
+
+
 def test_throttled_stream(spark, tmp_path):
-    src, out = str(tmp_path / "src"), str(tmp_path / "out")
-    ddl = "k string, id bigint, ms bigint"
-    times = [1000, 1100, 1200, 1201, 1350, 1402]
+    ddl, times = "k string, id bigint, ms bigint", [1000, 1100, 1200, 1201, 1350, 1402]
+    out, build = _throttled(spark, tmp_path, "gap")
     for i in (0, 3):
-        _write(spark, src, [("k", j, times[j]) for j in range(i, i + 3)], ddl)
+        _write(spark, str(tmp_path / "gap"), [("k", j, times[j]) for j in range(i, i + 3)], ddl)
         time.sleep(0.05)
-    stream = _source(spark, src, ddl).withColumn("ts", F.timestamp_millis("ms"))
-    StreamJob(
-        lambda: pl.throttled(stream, "k", "ts", "id", str(tmp_path / "st"), str(tmp_path / "cp"), pl.write_message_folder(out))
-    ).run_available()
-    assert sorted(r.ms for r in spark.read.parquet(out).collect()) == [1000, 1201, 1402]
+    StreamJob(build).run_available()
+    assert [ms for _, ms, _ in _sent(spark, out)] == [1000, 1201, 1402]
+    # A restart goes on from the state.
+    _write(spark, str(tmp_path / "gap"), [("k", 9, 1500), ("k", 10, 1603)], ddl)
+    StreamJob(build).run_available()
+    assert [ms for _, ms, _ in _sent(spark, out)] == [1000, 1201, 1402, 1603]
+
+
+def test_throttle_state_is_dropped_after_the_gap(spark, tmp_path):
+    ddl = "k string, id bigint, ms bigint"
+    draw, last, expected = random.Random(5), {}, []
+    out, build = _throttled(spark, tmp_path, "keys")
+    for batch in range(6):
+        # Keys of their own in every batch, beside one of all.
+        rows = [(f"{batch}-{draw.randrange(40)}", batch * 1000 + i, batch * 10_000 + draw.randrange(9_000)) for i in range(100)]
+        rows += [("all", batch * 1000 + 500 + i, batch * 10_000 + draw.randrange(9_000)) for i in range(100)]
+        for k, i, ms in sorted(rows, key=lambda r: (r[2], r[1])):
+            if k not in last or ms > last[k] + 200:
+                last[k] = ms
+                expected.append((k, ms, i))
+        _write(spark, str(tmp_path / "keys"), rows, ddl)
+        time.sleep(0.05)
+    query = StreamJob(build).run_available().query
+    assert _sent(spark, out) == sorted(expected)
+    held = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert max(held) < 100 and held[-1] <= 10 and len(last) > 200
+
+
+def test_late_and_incomplete_messages_are_counted(spark, tmp_path):
+    ddl = "k string, id bigint, ms bigint"
+    out, build = _throttled(spark, tmp_path, "late", late="1 second")
+    batches = [
+        [("k", 1, 10_000), (None, 2, 10_000), (None, 3, None), ("k", 4, None)],
+        [("k", 5, 9_500), ("k", 6, 11_000), ("x", 7, 9_900)],
+        [("k", 8, 20_000), ("new", 9, 5_000), ("x", 10, 19_500)],
+    ]
+    for b in batches:
+        _write(spark, str(tmp_path / "late"), b, ddl)
+        time.sleep(0.05)
+    with watched(spark, str(tmp_path / "log")) as log:
+        query = StreamJob(build).run_available().query
+        assert log.wait_stopped(query)
+        rows = log.frame(spark).where("event = 'batch' and rows > 0").orderBy("batch_id").collect()
+    assert [r.observed for r in rows] == [
+        {"left_out.null_keys": 2, "left_out.null_times": 1}, {"left_out.null_keys": 0, "left_out.null_times": 0},
+        {"left_out.null_keys": 0, "left_out.null_times": 0}]
+    assert [r.late for r in rows] == [0, 0, 1]  # "new", behind the watermark
+    assert _sent(spark, out) == [("k", 10_000, 1), ("k", 11_000, 6), ("k", 20_000, 8), ("x", 9_900, 7), ("x", 19_500, 10)]
 
 
 def test_decode_defaults(spark):
@@ -395,3 +452,132 @@ def test_timed_stop_waits_for_the_running_batch(spark, tmp_path):
     )
     job.start(stop_after=1.0)
     assert done and not job.running
+
+
+def test_empty_batches_are_not_written_and_plans_run_once(spark, tmp_path):
+    src, runs = str(tmp_path / "src"), spark.sparkContext.accumulator(0)
+    for b in ([(1, "en", "a", None)], [], [(2, "en", "b", None), (3, "en", "c", None)]):
+        _write(spark, src, b)
+        time.sleep(0.05)
+
+    def count(batches):
+        for batch in batches:
+            runs.add(batch.num_rows)
+            yield batch
+
+    written = []
+    stream = _source(spark, src).mapInArrow(count, POSTS)
+    StreamJob(lambda: pl.write_batches(stream, str(tmp_path / "cp"), lambda b, i: written.append((i, b.count())))).run_available()
+    assert written == [(0, 1), (2, 2)] and runs.value == 3
+
+
+MESSAGE = "MESSAGE_ID bigint, MESSAGE_BODY string, POSTED timestamp"
+RECORD = "MESSAGE_ID bigint, SENTIMENT_POLARITY string, SCORED timestamp"
+
+
+def test_streams_joined_with_late_rows_and_bounded_state(spark, tmp_path):
+    day = lambda d, h=0: f"2024-01-01 00:00:00|{d}|{h}"
+
+    def frame(rows, ddl, at):
+        kinds = ddl.replace(f"{at} timestamp", f"{at} string")
+        part = lambda i: F.split(at, r"\|")[i]
+        stamp = part(0).cast("timestamp") + F.make_dt_interval(part(1).cast("int"), part(2).cast("int"))
+        return spark.createDataFrame(rows, kinds).withColumn(at, F.when(F.col(at).isNotNull(), stamp))
+
+    messages = [
+        [(1, "a", day(0)), (2, "b", day(0, 5)), (None, "no key", day(0)), (9, "no time", None)], [(3, "c", day(40))], [(4, "d", day(80))],
+        [(5, "e", day(120))], [(6, "f", day(160))], [(7, "g", day(200))]]
+    records = [
+        [(1, "POSITIVE", day(1)), (1, "NEGATIVE", day(6)), (2, "POSITIVE", day(8)), (None, "POSITIVE", day(0))],
+        [(3, "POSITIVE", day(41)), (2, "AMBIVALENT", day(2))],  # 38 days late, within the bound
+        [(3, None, day(42))], [(5, "NEUTRAL", day(121))], [(6, "POSITIVE", day(161))],
+        [(1, "POSITIVE", day(3)), (7, "POSITIVE", day(201))]]  # the first is too late
+    for name, batches, ddl, at in (("m", messages, MESSAGE, "POSTED"), ("r", records, RECORD, "SCORED")):
+        for b in batches:
+            frame(b, ddl, at).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+            time.sleep(0.05)
+    out = str(tmp_path / "out")
+    job = StreamJob(lambda: pl.capture(
+        joins.polarity_pairs(_source(spark, str(tmp_path / "m"), MESSAGE), _source(spark, str(tmp_path / "r"), RECORD),
+                             "POSTED", "SCORED", late="40 days"), out, str(tmp_path / "cp"))).run_available()
+    pairs = spark.read.schema(MESSAGE + ", POLARITY int").parquet(out)
+    got = {r.MESSAGE_ID: (r.SENTIMENT_POLARITY, r.SENTIMENT) for r in joins.mean_polarity(pairs, "MESSAGE_ID").collect()}
+    assert got == {1: (0.0, "AMBIVALENT"), 2: (0.0, "AMBIVALENT"), 3: (0.0, "AMBIVALENT"), 5: (-1.0, "NEGATIVE"),
+                   6: (1.0, "POSITIVE"), 7: (1.0, "POSITIVE")}
+    progress = [p for p in job.query.recentProgress if p["stateOperators"]]
+    assert progress[-1]["stateOperators"][0]["numRowsTotal"] < 8
+    assert sum(p["stateOperators"][0]["numRowsDroppedByWatermark"] for p in progress) == 1
+
+
+def test_daily_windows_close_and_drop_late_rows(spark, tmp_path):
+    ddl = "POSTING_TIME timestamp, SENTIMENT string, MESSAGE_BODY string, A boolean, B boolean"
+
+    def rows(*days):
+        shaped = spark.createDataFrame([(d, s, b, True, s is None) for d, s, b in days], ddl.replace("timestamp", "string"))
+        return shaped.withColumn("POSTING_TIME", F.col("POSTING_TIME").cast("timestamp"))
+
+    src = str(tmp_path / "src")
+    for b in (
+        rows(("2024-01-01 03:00:00", "POSITIVE", "x"), ("2024-01-01 05:00:00", "POSITIVE", None), (None, "POSITIVE", "x")),
+        rows(("2024-01-03 03:00:00", None, "x"), ("2024-01-01 23:00:00", "POSITIVE", "late, in time")),
+        rows(("2024-01-09 03:00:00", None, "x")),
+        rows(("2024-01-09 04:00:00", None, "x")),
+        rows(("2024-01-02 03:00:00", None, "too late"), ("2024-02-09 03:00:00", None, "x")),
+    ):
+        b.coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.05)
+    out, labels = str(tmp_path / "out"), str(tmp_path / "labels")
+    job = StreamJob(lambda: pl.capture(windows.daily_sentiment(_source(spark, src, ddl)), out, str(tmp_path / "cp"))).run_available()
+    got = sorted((str(r[0])[:10], r[1], r[2]) for r in spark.read.parquet(out).collect())
+    assert got == [("2024-01-01", "POSITIVE", 2), ("2024-01-03", None, 1), ("2024-01-09", None, 2)]
+    dropped = [s["numRowsDroppedByWatermark"] for p in job.query.recentProgress for s in p["stateOperators"]]
+    assert sum(dropped) == 1
+    StreamJob(lambda: pl.capture(
+        windows.label_daily(_source(spark, src, ddl), ["A", "B"]), labels, str(tmp_path / "cp2"))).run_available()
+    got = sorted((str(r.POSTING_TIME)[:10], r.LABEL, r.COUNT) for r in spark.read.parquet(labels).collect())
+    assert got == [("2024-01-01", "A", 3), ("2024-01-03", "A", 1), ("2024-01-03", "B", 1), ("2024-01-09", "A", 2), ("2024-01-09", "B", 2)]
+
+
+def test_a_batch_that_is_run_again_is_published_once(spark, tmp_path):
+    src, out, marker = (str(tmp_path / n) for n in ("src", "out", "killed"))
+    for b in ([(1, "en", "a", None), (2, "en", "b", None)], [(3, "en", "c", None), (4, "en", "KILL", None)]):
+        _write(spark, src, b)
+        time.sleep(0.05)
+
+    def rows():
+        import os
+
+        def fail_once(batches):
+            import pyarrow.compute as pc
+
+            for batch in batches:
+                if not os.path.exists(marker) and pc.any(pc.equal(batch.column("payload"), "KILL")).as_py():
+                    raise RuntimeError("killed")
+                yield batch
+
+        named = _source(spark, src).select(F.lit("tweets").alias("channel"), F.col("text").alias("payload"))
+        return named.mapInArrow(fail_once, "channel string, payload string")
+
+    build = lambda: channel.publish(rows(), out, str(tmp_path / "cp"))
+    with pytest.raises(Exception, match="killed"):
+        StreamJob(build).run_available()
+    assert [b.rows for b in channel.published_batches(spark, out)] == [2]
+    open(marker, "w").close()
+    StreamJob(build).run_available()
+    assert [(b.batch_id, b.rows) for b in channel.published_batches(spark, out)] == [(0, 2), (1, 2)]
+    got = channel.published(spark, out, "channel string, payload string")
+    assert sorted(r.payload for r in got.collect()) == ["KILL", "a", "b", "c"]
+
+
+def test_commit_of_a_published_batch_changes_nothing(tmp_path):
+    import pyarrow as pa
+
+    writer = channel.ChannelWriter(str(tmp_path / "c"))
+    batch = pa.RecordBatch.from_pydict({"channel": ["t"], "payload": ["p"]})
+    first, second = writer.write(iter([batch])), writer.write(iter([batch]))
+    writer.commit([first, writer.write(iter([]))], 7)
+    writer.commit([second], 7)
+    assert [(b.batch_id, b.files, b.rows) for b in channel.published_batches(None, str(tmp_path / "c"))] == [(7, [first.name], 1)]
+    writer.abort([second, None], 8)
+    assert len(list((tmp_path / "c" / "data").iterdir())) == 1
+    assert channel.published_batches(None, str(tmp_path / "none")) == []

@@ -81,6 +81,7 @@ def test_wall_clock_millis(spark):
 def test_no_row_holds_a_long_block_or_a_batch(spark, monkeypatch):
     # A dense key over more than a block, at a gap of many blocks, without and with a carry.
     kept, plain = [], th.stored
+    monkeypatch.setattr(th, "BLOCK_ROWS", 600_000 // 400)
     monkeypatch.setattr(th, "stored", lambda df: kept.append(plain(df)) or kept[-1])
     events = [("hot", ms, ms) for ms in range(0, 2_400_000, 400)] + [("b", 5, -1), ("b", 30_000_000, -2)]
     for gap, carry in ((7_000, None), (900_000, None), (7_000, 350_100), (200, 350_100)):
@@ -99,3 +100,13 @@ def test_left_out_messages_are_counted(spark):
     carry = spark.createDataFrame([("k", 100)], "key string, sent_ms bigint")
     assert tuple(th.left_out(_frame(spark, rows), "key", "ts", carry).first()) == (2, 1, 1)
     assert tuple(th.left_out(_frame(spark, rows), "key", "ts").first()) == (2, 1, 0)
+
+
+def test_blocks_are_as_long_as_their_messages_allow(spark, monkeypatch):
+    timed = spark.createDataFrame([("k", ms) for ms in range(0, 4_800_000, 4000)] + [("x", 5)], "key string, ms bigint")
+    assert th.block_length(timed, 200) == 600_000  # the gaps wanted are shorter
+    assert th.block_length(timed, 300_000) == 2_400_000
+    for most, length in ((1200, 4_800_000), (600, 2_400_000), (599, 1_200_000), (10, 600_000)):
+        monkeypatch.setattr(th, "BLOCK_ROWS", most)
+        assert th.block_length(timed, 500_000) == length
+    assert th.block_length(timed.where("ms < 0"), 500_000) == 600_000
