@@ -7,9 +7,10 @@ would leave off for every way of entering it, the starts of these summaries are
 linked to those that follow by pointer doubling in joins, and the blocks then
 replay in parallel from their known entry.
 
-Blocks are several gaps long, so that few messages are starts, but only as long as no
-block of a key has more than ``BLOCK_ROWS`` messages, which is counted first. Blocks of the
-shortest length hold a row per millisecond at most, and no row holds more than a block.
+Blocks are as long as they can be while no block of a key has more than ``BLOCK_ROWS``
+messages, which is counted first: keys with few messages then are one block and need no
+linking. Blocks of the shortest length hold a row per millisecond at most, and no row
+holds more than a block.
 Starts are rows, within the first gap of a block; only the look-up of the next
 block that has messages goes through a key's blocks in order, one row for each.
 """
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 from chorale.session import stored
 
 BLOCK_MS = 600_000  # shortest length of a block
-BLOCK_GAPS = 8  # gaps of a block, where its messages are few enough for that
+STEP, STEPS = 8, 7  # blocks may be so many times longer, so many times over: 40 years at most
 BLOCK_ROWS = 100_000  # messages of one key in a block longer than the shortest
 NEVER = np.iinfo("int64").min // 2
 
@@ -146,19 +147,17 @@ def _replay(gap: int):
     return replay
 
 
-def block_length(timed: DataFrame, gap: int) -> int:
-    """Milliseconds of a block for messages (key, ms): the shortest, doubled while blocks stay small and not beyond the gaps wanted."""
-    levels = 0
-    while BLOCK_MS << levels < BLOCK_GAPS * gap:
-        levels += 1
-    if not levels:
-        return BLOCK_MS
-    short = timed.groupBy("key", F.floor(F.col("ms") / BLOCK_MS).cast("bigint").alias("block")).agg(F.count("*").alias("n"))
-    doubled = short.select("key", "block", "n", F.explode(F.sequence(F.lit(1), F.lit(levels))).alias("level"))
-    longer = doubled.groupBy("level", "key", F.expr("shiftright(block, level)")).agg(F.sum("n").alias("n"))
+def block_length(timed: DataFrame) -> int:
+    """Milliseconds of a block for messages (key, ms): the longest that keeps the blocks of every key small, or the shortest."""
+    block = F.floor(F.col("ms") / BLOCK_MS).cast("bigint").alias("block")
+    short = timed.groupBy("key", block).agg(F.count("*").alias("n"))
+    stepped = short.select("key", "block", "n", F.explode(F.sequence(F.lit(1), F.lit(STEPS))).alias("step"))
+    longer = stepped.groupBy("step", "key", F.floor(F.col("block") / F.pow(F.lit(STEP), "step")).alias("block")).agg(
+        F.sum("n").alias("n")
+    )
     # One row per length.
-    fullest = {r["level"]: r["n"] for r in longer.groupBy("level").agg(F.max("n").alias("n")).collect()}
-    return BLOCK_MS << max([0, *(k for k, n in fullest.items() if n <= BLOCK_ROWS)])
+    fullest = {r["step"]: r["n"] for r in longer.groupBy("step").agg(F.max("n").alias("n")).collect()}
+    return BLOCK_MS * STEP ** max([0, *(k for k, n in fullest.items() if n <= BLOCK_ROWS)])
 
 
 def throttle(
@@ -184,7 +183,7 @@ def throttle(
         timed = timed.join(carry.select("key", "sent_ms"), "key", "left").where(
             F.col("sent_ms").isNull() | (F.col("ms") > F.col("sent_ms") + gap_ms)
         )
-    block_ms = block_ms or block_length(timed.select("key", "ms"), gap_ms)
+    block_ms = block_ms or block_length(timed.select("key", "ms"))
     per_ms = timed.groupBy("key", "ms").agg(F.min("_id").alias("message_id"))
     block = F.floor(F.col("ms") / block_ms).cast("bigint")
     blocks = stored(

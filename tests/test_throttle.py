@@ -104,9 +104,11 @@ def test_left_out_messages_are_counted(spark):
 
 def test_blocks_are_as_long_as_their_messages_allow(spark, monkeypatch):
     timed = spark.createDataFrame([("k", ms) for ms in range(0, 4_800_000, 4000)] + [("x", 5)], "key string, ms bigint")
-    assert th.block_length(timed, 200) == 600_000  # the gaps wanted are shorter
-    assert th.block_length(timed, 300_000) == 2_400_000
-    for most, length in ((1200, 4_800_000), (600, 2_400_000), (599, 1_200_000), (10, 600_000)):
+    assert th.block_length(timed) == 600_000 * 8**7
+    for most, length in ((1199, 600_000), (1200, 600_000 * 8**7), (10, 600_000)):
         monkeypatch.setattr(th, "BLOCK_ROWS", most)
-        assert th.block_length(timed, 500_000) == length
-    assert th.block_length(timed.where("ms < 0"), 500_000) == 600_000
+        assert th.block_length(timed) == length
+    later = timed.unionByName(timed.select("key", (F.col("ms") + 600_000 * 64).alias("ms")))
+    monkeypatch.setattr(th, "BLOCK_ROWS", 1200)
+    assert th.block_length(later) == 600_000 * 64
+    assert th.block_length(timed.where("ms < 0")) == 600_000
