@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chorale.session import scratch_root
+from chorale.session import scratch_path, scratch_root
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Rows of one Arrow batch: texts are wide, so few of them go to Python at once.
@@ -44,6 +44,13 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows written as a table to the shared folder, compressed, and read again; lineage ends there."""
+    place = scratch_path(df.sparkSession, name)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:
     """A text column without nulls and with 64-bit offsets."""
     return pc.fill_null(batch.column(name).cast(pa.large_string()), "")
