@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 from collections.abc import Callable, Iterator
 
@@ -44,10 +45,17 @@ def kept(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def tidied(spark: SparkSession) -> None:
+    """Let go of the shuffle files of earlier steps: Spark drops them once its driver has collected what refers to them."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows written as a table to the shared folder, compressed, and read again; lineage ends there."""
     place = scratch_path(df.sparkSession, name)
     df.write.parquet(place)
+    tidied(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(place)
 
 
