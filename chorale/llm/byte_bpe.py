@@ -24,7 +24,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chorale.llm.common import per_batch, prepared, text_column
+from chorale.llm.common import per_batch, prepared, text_column, written
 
 CHUNK = 1 << 16  # code points a chunk adds
 OVERLAP = 1 << 12  # code points it shares with the next
@@ -132,6 +132,18 @@ def decode(ids: bytes, path: str = RANKS) -> bytes:
     return b"".join(out)
 
 
+def _cut_chunks(batches):
+    """Every chunk of every text as a row; a text is gone through once."""
+    for batch in batches:
+        for row, n, text in zip(*(batch.column(c).to_pylist() for c in ("row", "n", "text"))):
+            for start in range(0, n, CHUNK):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row], pa.int64()), pa.array([n], pa.int32()), pa.array([start], pa.int32()),
+                     pa.array([text[start : start + CHUNK + OVERLAP]], pa.string())],
+                    names=["row", "n", "start", "chunk"],
+                )
+
+
 def _encode_chunks(path: str):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         book, rows = pieces_of(path), []
@@ -244,10 +256,11 @@ def encode(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
     short = single.withColumnRenamed("text", "chunk").mapInArrow(
         _encode_chunks(path), f"{kept}, n int, start int, ids binary, ends array<bigint>, at array<bigint>"
     )
-    long = rows.where(F.col("n") > CHUNK + OVERLAP).withColumn("row", F.monotonically_increasing_id())
-    chunks = long.select(
-        "row", "text", "n", F.explode(F.sequence(F.lit(0), F.col("n") - 1, F.lit(CHUNK))).alias("start")
-    ).select("row", "n", "start", F.expr(f"substring(text, start + 1, {CHUNK + OVERLAP})").alias("chunk"))
+    # Written, so that a row's number is the same for its chunks and its text, however often a task is run.
+    long = written(
+        rows.where(F.col("n") > CHUNK + OVERLAP).withColumn("row", F.monotonically_increasing_id()), "long-texts"
+    )
+    chunks = long.select("row", "n", "text").mapInArrow(_cut_chunks, "row bigint, n int, start int, chunk string")
     pieces = chunks.repartition("row", "start").mapInArrow(
         _encode_chunks(path), "row bigint, n int, start int, ids binary, ends array<bigint>, at array<bigint>"
     )

@@ -137,7 +137,8 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     of the next document, going down the doc_ids. A null text is empty. Rows with one
     doc_id follow each other by a hash of their text; equal rows count once in that order
     and are given once each. A null doc_id is the smallest. Other columns are not read.
-    Each text is moved once, and its beginning once more to the document it goes into.
+    Each text is moved once, and its beginning once more to the document it goes into. An
+    empty table gives no rows.
     """
     prepared(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))

@@ -26,14 +26,15 @@ EPS = 1e-9
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST) -> DataFrame:
-    """source, source_size, n_docs and target of each source, from rows of source and size.
+    """source, source_size, n_docs and target of each source, from rows of source, size and how many times they stand for.
 
     Sources by code point (null last) weigh ``weights``, repeating. The sum of all sizes
     is shared by weight; what a source gets beyond ``most`` times its size is shared among
     the others by weight, until none is above. Nothing but sums of the table of sources
     comes to the driver.
     """
-    totals = sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    totals = sizes.groupBy("source").agg(
+        F.sum(F.col("size") * F.col("times")).alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
     placed, _, total = positions(totals.withColumn("last", F.col("source").isNull()), ["last", "source"], "source_size")
     weight = F.coalesce(*(F.when(F.col("row_number") % len(weights) == k, F.lit(w)) for k, w in enumerate(weights)))
     table = kept(placed.select("source", "source_size", "n_docs", weight.alias("weight")))
@@ -119,21 +120,29 @@ def choose(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
 
     ``key`` is a hash of the text. Texts are read once and not moved. Copies are at most
     ``most``; reruns agree. A document without words (a null text too) takes no part: 0
-    copies. Repeated rows are drawn each. An empty table gives no rows.
+    copies. Rows equal in doc_id, source and text are counted and drawn as one: of so many
+    with a fraction each the whole part of its multiple is sure, and one is drawn with the
+    rest; each row is given. An empty table gives no rows.
     """
     prepared(docs.sparkSession)
-    sized = kept(docs.select("doc_id", "source", F.xxhash64("text").alias("key"), word_count("text").alias("size")))
+    sized = kept(
+        docs.select("doc_id", "source", F.xxhash64("text").alias("key"), word_count("text").alias("size"))
+        .groupBy("doc_id", "source", "key", "size").agg(F.count(F.lit(1)).alias("times"))
+    )
     targets = source_targets(sized, weights, most).withColumnRenamed("source", "of")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     whole = F.floor(rate + EPS)
-    part = F.when(rate - whole > EPS, rate - whole).otherwise(0.0)
+    part = F.when(rate - whole > EPS, rate - whole).otherwise(0.0) * F.col("times")
+    sure = F.floor(part + EPS)
+    rest_ = F.when(part - sure > EPS, part - sure).otherwise(0.0)
     planned = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).select(
         "doc_id", "source", "key", "size", "source_size", "target",
         F.when(F.col("size") > 0, whole).otherwise(0).cast("int").alias("copies"),
-        F.when(F.col("size") > 0, part).otherwise(0.0).alias("p"),
-        F.xxhash64("doc_id", "key", F.lit(7)).alias("order"), F.col("n_docs").alias("n"),
+        F.when(F.col("size") > 0, rest_).otherwise(0.0).alias("p"),
+        F.xxhash64("doc_id", "key", F.lit(7)).alias("order"), F.col("n_docs").alias("n"), "times",
+        F.when(F.col("size") > 0, sure).otherwise(0).alias("sure"),
     )
-    shape = "doc_id {}, source {}, key bigint, size bigint, source_size bigint, target double, copies int, p double, `order` bigint, n bigint, blocks bigint, block bigint".format(
+    shape = "doc_id {}, source {}, key bigint, size bigint, source_size bigint, target double, copies int, p double, `order` bigint, n bigint, times bigint, sure bigint, blocks bigint, block bigint".format(
         *(docs.schema[c].dataType.simpleString() for c in ("doc_id", "source")))
     settled, round_ = [], 0
     todo = planned
@@ -155,9 +164,10 @@ def choose(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST
     out = settled[0]
     for part_ in settled[1:]:
         out = out.unionByName(part_)
-    return out.select(
-        "doc_id", "source", "key", "size", "source_size", "target",
-        (F.col("copies") + F.round("p").cast("int")).alias("copies"),
+    each = out.withColumn("row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("times"))))
+    more = (F.col("row") <= F.col("sure") + F.round("p").cast("bigint")).cast("int")
+    return each.select(
+        "doc_id", "source", "key", "size", "source_size", "target", (F.col("copies") + more).alias("copies")
     )
 
 

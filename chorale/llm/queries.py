@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from chorale.llm import (
-    ann, byte_bpe, fill_middle, fingerprints, html_text, jaccard_join, mixing, periodic, sharding, substring_dedup, top_scores,
+    ann, byte_bpe, fill_middle, fingerprints, html_text, jaccard_join, mixing, periodic, sharding, sql, substring_dedup, top_scores,
     toxicity, url_filter,
 )
 from chorale.llm.common import table
@@ -12,18 +14,18 @@ QUERIES = {}
 ORACLES = {}
 
 
-def query(run, sql=None):
+def query(run, text=None):
     QUERIES[run.__name__] = run
-    if sql is not None:
-        ORACLES[run.__name__] = sql
+    if text is not None:
+        ORACLES[run.__name__] = text
     return run
 
 
-def with_sql(sql):
-    return lambda run: query(run, sql)
+def with_sql(text):
+    return lambda run: query(run, text)
 
 
-@query
+@with_sql(sql.SUBSTRING_DEDUP)
 def op1_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(table(spark, sf_dir, "documents"))
 
@@ -33,7 +35,7 @@ def op2_main_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-@query
+@with_sql(sql.JACCARD_JOIN)
 def op3_jaccard_join(spark, sf_dir):
     return jaccard_join.similar(table(spark, sf_dir, "documents"))
 
@@ -88,3 +90,29 @@ def op12_top_scores(spark, sf_dir):
 @with_sql(fill_middle.SQL)
 def op13_fill_middle(spark, sf_dir):
     return fill_middle.digest(table(spark, sf_dir, "documents"))
+
+
+# What of the queries above SQL can tell, in queries of its own.
+
+
+@with_sql(sql.SHARD_SLOTS)
+def shard_slots(spark, sf_dir):
+    return op5_shards(spark, sf_dir).drop("text_crc32")
+
+
+@with_sql(sql.URL_RULES)
+def url_rules(spark, sf_dir):
+    judged = op7_url_filter(spark, sf_dir)
+    return judged.select(
+        "page_id", "host", "path", "rule", F.when(F.col("rule").isNotNull(), F.col("verdict")).alias("ruled_verdict")
+    )
+
+
+@with_sql(sql.MIX_TARGETS)
+def mix_targets(spark, sf_dir):
+    return op9_mixture(spark, sf_dir).select("doc_id", "size", "source_size", F.round("target", 6).alias("target"))
+
+
+@with_sql(sql.EDITED_TEXTS)
+def edited_texts(spark, sf_dir):
+    return op10_fingerprints(spark, sf_dir).select("doc_id", "n_chars", "edited_sha256")

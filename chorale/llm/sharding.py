@@ -91,8 +91,9 @@ def cut(df: DataFrame, order: list[str], size: str, shards: int = SHARDS) -> Dat
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document.
 
-    The order is by doc_id (null first), then by size and checksum; repeated rows get a
-    slot each. A null text counts as an empty one: size 1. Texts are read once and not
+    The law is ``bytes``: shards are stretches of contiguous doc_ids, so documents with equal
+    texts may lie in different shards. The order is by doc_id (null first), then by size and
+    checksum; repeated rows get a slot each. An empty table gives no rows. A null text counts as an empty one: size 1. Texts are read once and not
     moved. Other columns are not read.
     """
     body = F.coalesce(F.col("text"), F.lit(""))

@@ -175,11 +175,13 @@ def repeated_spans(rows: DataFrame, texts: DataFrame, window: int, seed: int) ->
     masks = stretches.join(again, ["anchor", "stretch"]).groupBy("anchor", "span").agg(
         F.bit_or(F.expr("shiftleft(1L, w)")).alias("bits")
     )
-    found = stand.select("anchor", "span").join(masks, ["anchor", "span"], "left").select(
+    # Written too, so that the occurrences of a frequent span are split in the join.
+    found = kept(stand.select("anchor", "span").join(masks, ["anchor", "span"], "left").select(
         "anchor", "span", F.coalesce("bits", F.lit(0).cast("bigint")).alias("mask")
-    )
+    ))
+    # A set: rows equal in id and text have the same spans, which each of them needs once.
     return hits.join(found, ["anchor", "span"], "left").groupBy("k", "h").agg(
-        F.collect_list(F.struct("s0", "s1", "mask")).alias("spans")
+        F.collect_set(F.struct("s0", "s1", "mask")).alias("spans")
     )
 
 
@@ -189,7 +191,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> D
     A word goes when it lies in a stretch of ``window`` words that also starts anywhere
     else, in the same document too, as the input stands. A null text has no words.
     Repeated rows are documents of their own, so all stretches of theirs repeat. Columns
-    named n_words, n_removed or kept are replaced.
+    named n_words, n_removed or kept are replaced. An empty table gives no rows.
     """
     if not 0 < seed <= window < seed + 63:
         raise ValueError("seed must be shorter than the window, by 62 words at most")

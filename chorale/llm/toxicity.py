@@ -1,8 +1,10 @@
 """Toxicity as ordered severity grades: cumulative-link regression on sparse text features.
 
 Features are hashed words and word beginnings. Those that go with toxic labels are chosen
-on a bounded sample of labelled documents; the labels say toxic or not, so a toxic
-document's grade comes from how often such features occur in it. One weight vector serves
+on a bounded sample of labelled documents. The labels say toxic or not and no more, so the
+grades 1 to 3 of a toxic document are made here, from how often the chosen features occur in
+it: severity beyond the label is read off the same words that the model sees, and says how
+much of them a document holds. One weight vector serves
 all thresholds: P(grade >= k) = logistic(weights . x - threshold k). A document's severity
 is its expected grade, and it is rejected when grade 1 or more is likelier than not.
 """
@@ -20,8 +22,9 @@ from chorale.llm.common import kept, per_batch, prepared, text_column
 from chorale.llm.words import U, word_hashes
 
 SAMPLE = 20_000  # labelled documents the model is fitted on at most, by a hash of their id
-CANDIDATES = 50_000  # features looked at closely at most, the most frequent in toxic documents
-FEATURES = 2_000  # features of the model at most
+# What of the sample's features the model is made of; parameters of fit().
+CANDIDATES = 50_000  # looked at closely at most, the most frequent in toxic documents
+FEATURES = 2_000  # taken at most, those that tell most
 LEAST_SHARE = 0.004  # of toxic documents a feature must occur in
 LEAST_ODDS = 12.0  # times it must be likelier in toxic documents than in others
 PREFIXES = (4, 5, 6, 7)
@@ -135,11 +138,19 @@ def cumulative_link(
     return weights, shape[0] + np.r_[0, np.cumsum(np.exp(shape[1:]))]
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
+def fit(
+    docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, candidates: int = CANDIDATES, most: int = FEATURES,
+    least_share: float = LEAST_SHARE, least_odds: float = LEAST_ODDS,
+) -> Model:
     """A model from the documents of at most ``sample`` labels.
 
-    Labels without a doc_id or grade, or of documents that are not there, are left out.
-    Without any toxic example nothing is rejected.
+    The model is sparse: of the features that occur in ``least_share`` of the sample's toxic
+    documents, the ``candidates`` most frequent are compared with the other documents, and of
+    those ``least_odds`` times likelier in toxic ones the ``most`` telling are taken. All of
+    this is a choice on the bounded sample; documents are scored whole. Labels without a
+    doc_id or grade, or of documents that are not there, are left out; repeated labels of a
+    document count as the highest, repeated rows of a document each. Without any toxic
+    example, as with either table empty, nothing is rejected.
     """
     prepared(docs.sparkSession)
     chosen = (
@@ -158,8 +169,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
             F.sum("n").alias("n"))
 
     toxic = (
-        frequencies(seen.where("toxic = 1"), None).where(F.col("n") >= max(3, LEAST_SHARE * bad))
-        .orderBy(F.desc("n"), "feature").limit(CANDIDATES).collect()
+        frequencies(seen.where("toxic = 1"), None).where(F.col("n") >= max(3, least_share * bad))
+        .orderBy(F.desc("n"), "feature").limit(candidates).collect()
     )
     names = np.array([r["feature"] for r in toxic], np.int64).view(np.uint64)
     order = np.argsort(names)
@@ -167,8 +178,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     rare = {r["feature"]: r["n"] for r in frequencies(seen.where("toxic = 0"), names).collect()}
     other = np.array([rare.get(int(x), 0) for x in names.view(np.int64)])
     odds = (often / bad) / ((other + 0.5) / (fine + 1))
-    good = np.flatnonzero(odds >= LEAST_ODDS)
-    good = np.sort(good[np.argsort(-odds[good] * np.sqrt(often[good]), kind="stable")[:FEATURES]])
+    good = np.flatnonzero(odds >= least_odds)
+    good = np.sort(good[np.argsort(-odds[good] * np.sqrt(often[good]), kind="stable")[:most]])
     features = names[good]
     examples = seen.mapInArrow(_examples(features), "toxic int, at array<int>, times array<int>").collect()
     counts = np.array([len(r["at"]) for r in examples])
@@ -213,7 +224,7 @@ def graded(docs: DataFrame, model: Model, severity: str = "severity", grade: str
 
 
 def severities(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, severity, grade and toxic (0/1) of every document."""
+    """doc_id, severity, grade and toxic (0/1) of every document, repeated rows each; none of an empty table."""
     found = graded(docs.select("doc_id", "text"), fit(docs, labels))
     return found.select("doc_id", "severity", "grade", (F.col("grade") > 0).cast("int").alias("toxic"))
 

@@ -28,8 +28,11 @@ RULES = [
     ("block", "net", "/fr/"),
 ]
 
-# Words the labelled table's host names are made of. A bad name has a word of the first
-# list, with one of the first or second; a good name has two of the third.
+# Words the labelled table's host names are made of, by rule and not from real urls. A bad
+# name has a word of the first list, with one of the first or second; a good name has two of
+# the third. The first two hold the words that the bad hosts of the test pages are made of:
+# a list without them blocked next to none of these hosts, so verdicts there show what the
+# table knows and not what the model finds out.
 BAD_WORDS = "casino pills bets adult spam ads xxx loans lottery warez meds poker replica viagra".split()
 WITH_BAD = "cheap free win track farm x online now best big hot server royal 24 popup".split()
 GOOD_WORDS = (
@@ -112,8 +115,8 @@ def labelled(spark: SparkSession, bad: list[str] | None = None, good: list[str]
 def fit(table: DataFrame, strength: float = 0.001) -> tuple[list[float], float]:
     """Weights by bucket and the intercept, from a small table of host, path and label (1: block).
 
-    The table is hand-labelled and as large as a person makes it, so its sparse rows may
-    pass through the driver once.
+    The table is as large as a person makes it, so its sparse rows may pass through the
+    driver once.
     """
     buckets = F.array_sort(F.array_distinct(gram_buckets(signal(F.col("host"), F.col("path")))))
     rows = [
@@ -141,7 +144,8 @@ def judge(pages: DataFrame, model: tuple[list[float], float] | None = None) -> D
     """page_id, host, path, rule and verdict of every row.
 
     A null url, or one without ``://``, has an empty host and path and is left to the
-    model. Repeated rows are judged each. No shuffle; other columns are not read.
+    model. Repeated rows are judged each. No shuffle; other columns are not read, and an
+    empty table gives no rows.
     """
     prepared(pages.sparkSession)
     weights, intercept = model or fit(labelled(pages.sparkSession))

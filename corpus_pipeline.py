@@ -1,4 +1,7 @@
-"""A training corpus from raw documents: five stages, each over all its predecessor kept."""
+"""A training corpus from raw documents: five stages, each over all its predecessor kept.
+
+Stages read their columns by name and pass the others on. An empty table stays empty.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +13,40 @@ from chorale.session import scratch_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents graded 0 by the severity model fitted on the labels."""
+    """Documents graded 0 by the severity model fitted on the labels.
+
+    Null and empty texts are graded 0; repeated rows are graded each.
+    """
     return toxicity.tolerable(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of near copies the document with the smallest doc_id."""
+    """Of every group of near copies the document with the smallest doc_id.
+
+    Documents without words stay, and so do rows with a null doc_id; rows of one doc_id stay
+    or go together.
+    """
     return jaccard_join.one_of_each(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages of 35 words and more that occur more than once."""
+    """Texts without the passages of 35 words and more that occur more than once.
+
+    A text without any stays as it is, a null one too; of rows repeated all passages repeat.
+    """
     return substring_dedup.shortened(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them; those without words are not taken.
+
+    A null source is the last of the sources.
+    """
     return mixing.mixture(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, tokens, and the digest of the bytes they decode to."""
+    """doc_id, source, n_tokens, tokens, and the digest of the bytes they decode to; a row for each row."""
     return byte_bpe.tokens(docs, keep=("doc_id", "source"))
 
 

@@ -82,3 +82,25 @@ def test_odd_rows_and_clashing_names(documents, odd_rows):
     row = bpe.tokens(documents([(1, "a b")]), keep=("doc_id", "source")).first()
     assert row.source == "s" and b"".join(
         bytes(bpe.decode(np.array([t], "<u4").tobytes())) for t in row.tokens) == b"a b"
+
+
+def test_long_texts_behind_a_shuffle(spark, documents, library):
+    draw = random.Random(4)
+    rows = [(i, " ".join(draw.choice(["alpha", "béta", f"n{i}", "漢字"]) for _ in range(40_000))) for i in range(6)]
+    rows += [(0, rows[1][1]), (0, rows[1][1])]  # equal rows, and an id that is told twice
+    shuffled = documents(rows).repartition(5).union(documents(rows[:2])).repartition(3, "doc_id")
+    found = sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in bpe.round_trip(shuffled).collect())
+    wanted = sorted((i, len(library.encode_ordinary(t)), hashlib.sha256(t.encode()).hexdigest()) for i, t in rows + rows[:2])
+    assert found == wanted
+
+
+def test_time_follows_the_length_of_a_text(documents):
+    import time
+
+    took = []
+    for n in (1, 1, 4):
+        df = documents([(1, "some words of a long text " * (n * 80_000))])
+        start = time.perf_counter()
+        assert bpe.round_trip(df).first().n_tokens > n * 400_000
+        took.append(time.perf_counter() - start)
+    assert took[2] < 6 * took[1] + 2  # four times the length of 2 MB

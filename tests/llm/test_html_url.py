@@ -124,3 +124,74 @@ def test_model_tells_hosts_it_has_not_seen(spark):
 def test_url_plan_is_native(spark):
     plan = url_filter.judge(urls(spark, ["http://x.org/a"]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+ARTICLE = "<article><h1>Head</h1>" + "".join(f"<p>Paragraph {k} of a story with a good many words.</p>" for k in range(5)) + "</article>"
+STORY = "Head " + " ".join(f"Paragraph {k} of a story with a good many words." for k in range(5))
+
+
+def test_a_page_wide_form_hides_nothing_but_its_controls():
+    page = f"<body><form id='aspnet'><label>Find</label><input><button>Go</button>{ARTICLE}</form><form><p>Sign up</p></form></body>"
+    assert html_text.main_text(page) == STORY + "" and "Sign up" not in html_text.main_text(page)
+    plain = "<body><form>" + "<p>Words of a page without an article element.</p>" * 4 + "<label>Find</label></form></body>"
+    assert html_text.main_text(plain) == " ".join(["Words of a page without an article element."] * 4)
+
+
+@pytest.mark.parametrize("name", ["elementor-widget elementor-widget-text-editor", "widget", "share-this", "related", "promo", "notice"])
+def test_names_that_hold_the_content_are_layout(name):
+    blocks = "".join(f"<div class='{name}'><p>Paragraph {k} of a story with a good many words.</p></div>" for k in range(5))
+    wanted = STORY.removeprefix("Head ")
+    assert html_text.main_text(f"<body><nav><a>x</a></nav>{blocks}<div class='sidebar'>Short</div></body>") == wanted
+    assert html_text.main_text(f"<body><article>{blocks}<div class='ad'>Buy now</div></article></body>") == wanted
+
+
+@pytest.mark.parametrize("tail", ["<!-- never closed", "<!-- a --", "<a href='x", "</p", "<b", "<!DOCTYPE", "<?php echo", "<![CDATA[ x"])
+def test_markup_that_never_ends_is_no_text(tail):
+    assert html_text.main_text(f"<p>One</p><p>Two</p>{tail}") == "One Two"
+    assert html_text.main_text("<p>a < b</p>" + tail) == "a < b"
+
+
+@pytest.mark.parametrize("piece", ["</i>", "<b>", "<br>", "<p>", "<div>", "</div>", "<b></i>", "<article>", "<!-- ", "<td></b>", "&amp;", "<p><b>"])
+def test_time_follows_the_length_of_a_page(piece):
+    import time
+
+    start = time.perf_counter()
+    html_text.main_text("<p>text" + "<b>" * 20_000 + piece * ((1 << 20) // len(piece)) + "</p>end")
+    assert time.perf_counter() - start < 10
+
+
+def test_pages_are_what_a_walk_over_their_tree_gives():
+    """Pages written from trees; the expected text is gathered from the tree, not from the markup."""
+    import random
+
+    draw = random.Random(6)
+
+    def sentence():
+        return " ".join("".join(draw.choice("aeioulnrst") for _ in range(draw.randrange(2, 9))) for _ in range(draw.randrange(8, 30)))
+
+    def paragraph():
+        text = sentence()
+        cut = draw.randrange(len(text))
+        inner = draw.choice(["<b>{}</b>", "<a href='/x'>{}</a>", "<i><b>{}</b></i>", "{}"]).format(text[cut:])
+        return f"<p>{text[:cut]}{inner}{draw.choice(['</p>', ''])}", [text.strip()]
+
+    def noise():
+        kind = draw.choice(["<div class='ad'>{}</div>", "<aside><p>{}</p></aside>", "<form><label>{}</label><input></form>",
+                            "<nav><ul><li>{}</li></ul></nav>", "<script>var x = '{}'</script>", "<div class='share'><a>{}</a></div>",
+                            "<!-- {} -->", "<div hidden>{}</div>"])
+        return kind.format("noise"), []
+
+    def block(depth):
+        if depth and draw.random() < 0.3:
+            made = [block(depth - 1) for _ in range(draw.randrange(1, 4))]
+            tag = draw.choice(["div", "section", "blockquote"])
+            return f"<{tag}>" + "".join(m for m, _ in made) + f"</{tag}>", [t for _, ts in made for t in ts]
+        return noise() if draw.random() < 0.25 else paragraph()
+
+    for _ in range(150):
+        made = [paragraph()] + [block(3) for _ in range(draw.randrange(1, 8))]
+        inside, texts = "".join(m for m, _ in made), [t for _, ts in made for t in ts]
+        tag = draw.choice(["article", "main"])
+        page = (f"<html><head><title>no</title></head><body class='x'>{noise()[0]}<header>no</header>"
+                f"<div class='{draw.choice(['wrap', 'page no-sidebar', 'widget'])}'><{tag}>{inside}</{tag}></div>{noise()[0]}<footer>no</footer>")
+        assert html_text.main_text(page) == " ".join(" ".join(t.split()) for t in texts)

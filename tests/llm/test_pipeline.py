@@ -1,8 +1,8 @@
 import hashlib
+import re
 
 import corpus_pipeline
 import duckdb
-import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
@@ -80,7 +80,24 @@ def test_run_gives_the_last_stage(spark, sf_dir, stages):
     assert found == sorted((r["doc_id"], r["n_tokens"]) for r in stages["byte_bpe"][1])
 
 
+def test_stages_on_odd_rows(spark, documents, odd_rows, tmp_path):
+    place = str(tmp_path)
+    labels = [(k, 1, int(k == 9)) for k in range(1, 10)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
+    docs = documents(odd_rows + [(9, "toxic words"), (None, None)], extra=("n", "k")).withColumnsRenamed({"x0": "node", "x1": "copies"})
+    wanted = {"toxicity": {1, 2, 3, 4, 5, 6, 7, 8, None}, "jaccard_join": {1, 2, 3, 4, 5, 6, 7, 8, None}}
+    for name, stage in corpus_pipeline.STAGES:
+        columns = docs.columns
+        docs = stage(spark, docs, place)
+        if name != "byte_bpe":
+            assert docs.columns == columns
+        ids = {r.doc_id for r in docs.select("doc_id").collect()}
+        assert ids <= {*range(1, 10), None} and ids >= {4, 6, 7} | ({1, 2, 3} if name in wanted else set())
+        empty = stage(spark, documents([]), place)
+        assert empty.count() == 0
+    assert docs.where("doc_id = 1").count() == 0 and docs.where("doc_id = 4").count() >= 1
+
+
 def test_every_operator_has_one_query():
-    numbers = sorted(int(name[2:].split("_")[0]) for name in queries.QUERIES)
-    assert numbers == list(range(1, 11))
-    assert np.unique(list(queries.QUERIES)).size == 10
+    numbers = [int(name[2:].split("_")[0]) for name in queries.QUERIES if re.match(r"op[0-9]", name)]
+    assert numbers == list(range(1, 14))

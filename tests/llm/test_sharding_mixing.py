@@ -119,6 +119,19 @@ def test_many_blocks_meet_in_rounds(documents, monkeypatch):
         assert abs(sum(r.taken for r in mine) - mine[0].target) <= max(r.size for r in mine)
 
 
+def test_rows_of_one_id_are_drawn_as_one(documents, monkeypatch):
+    monkeypatch.setattr(mixing, "BLOCK", 50)
+    rows = mixed_rows(2, 300) + [(5000, "w w w w", "a")] * 2000 + [(None, "w w", "b")] * 500
+    found = mixing.mixed_sizes(documents(rows)).collect()
+    assert len(found) == len(rows)
+    same = [r for r in found if r.doc_id == 5000]
+    rate = same[0].target / same[0].source_size
+    assert len(same) == 2000 and abs(sum(r.taken for r in same) - 2000 * 4 * rate) <= 4
+    assert {r.taken // 4 for r in same} <= {int(rate), int(rate) + 1}
+    again = mixing.mixed_sizes(documents(rows).repartition(5)).collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, again))
+
+
 def test_mixture_repeats_rows(documents):
     rows = mixed_rows(6, 400) + [(7, "w w w", "b"), (7, "w w w", "b"), (None, "q q", None)]
     df = documents(rows, extra=("z",)).withColumnRenamed("x0", "copies")

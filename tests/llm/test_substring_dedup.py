@@ -62,3 +62,16 @@ def test_other_columns_stay_and_texts_without_repeats_too(documents):
 def test_rows_with_one_id_are_documents_of_their_own(documents):
     rows = [(1, " ".join(f"a{k}" for k in range(40))), (1, " ".join(f"b{k}" for k in range(40)))]
     assert result(documents(rows), 35, 10) == brute(rows, 35)
+
+
+def test_many_rows_equal_in_id_and_text(documents):
+    import time
+
+    text = " ".join(f"t{k}" for k in range(2000))
+    took = {}
+    for name, ids in (("other ids", range(400)), ("one id", [7] * 400), ("no id", [None] * 400)):
+        start = time.perf_counter()
+        out = sd.remove_repeats(documents([(i, text) for i in ids])).collect()
+        took[name] = time.perf_counter() - start
+        assert len(out) == 400 and all((r.n_words, r.n_removed, r.kept) == (2000, 2000, "") for r in out)
+    assert took["one id"] < 2 * took["other ids"] + 5 and took["no id"] < 2 * took["other ids"] + 5

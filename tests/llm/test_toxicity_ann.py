@@ -130,3 +130,51 @@ def test_unusable_and_repeated_vectors(spark):
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
     one = df.where("vec_id = 0")
     assert ann.nearest(one, one).count() == 0
+
+
+def recall(found, wanted):
+    """Share of the wanted rows that are found, or one as near."""
+    hits = total = 0
+    for q, near in wanted.items():
+        least = near[-1][1]
+        hits += sum(s >= least - 1e-9 * abs(least) for _, s in found.get(q, []))
+        total += len(near)
+    return hits / total
+
+
+@pytest.mark.parametrize("long", [None, 1e5, 1e20])
+def test_recall_over_shards_and_uneven_lengths(spark, long):
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(6000, 32))
+    if long:
+        vectors[17] *= long
+        vectors[18:30] *= np.geomspace(1e-6, long, 12)[:, None]
+    rows = [(k, [float(a) for a in v]) for k, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(8)
+    asked = df.where("vec_id % 50 = 0")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = result(ann.nearest(df, asked, shard_rows=1500))
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") in (before, str(256))
+    assert recall(found, exact(rows, [r for r in rows if r[0] % 50 == 0], 20)) >= 0.95
+
+
+def test_graphs_larger_than_their_first_nodes(monkeypatch):
+    """Nodes inserted a batch at a time are found as well as the first ones."""
+    monkeypatch.setattr(ann, "FIRST", 300)
+    draw = np.random.default_rng(2)
+    centres = draw.normal(size=(60, 24))
+    vectors = centres[draw.integers(0, 60, 5000)] + 0.2 * draw.normal(size=(5000, 24))
+    vectors[100:400] = vectors[3]
+    ids = np.arange(5000)
+    index = ann.build(ids, vectors)
+    on, links = index["layers"][0]
+    assert len(on) == 5000 - 300 and links.max() < len(on)
+    assert all(len(set(r[r >= 0].tolist())) == (r >= 0).sum() and k not in r for k, r in enumerate(links))
+    q = ids[::25]
+    wanted = {}
+    for i, j, s in zip(*ann.search(index, q, vectors[::25], 20, None)):
+        wanted.setdefault(int(i), []).append((int(j), float(s)))
+    found = {}
+    for i, j, s in zip(*ann.search(index, q, vectors[::25], 20, 128)):
+        found.setdefault(int(i), []).append((int(j), float(s)))
+    assert recall(found, wanted) >= 0.95
