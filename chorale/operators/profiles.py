@@ -128,8 +128,3 @@ def profile_distances(
 
 def closer_of_two(distances: DataFrame, first: str, second: str, name: str) -> DataFrame:
     return distances.withColumn(name, vx.closer(F.col(first), F.col(second)))
-
-
-def trait_matrix(long: DataFrame, traits: Sequence[str], user: str = "userid") -> DataFrame:
-    """Long (user, trait, score) rows to one float column per named trait."""
-    return long.groupBy(user).pivot("trait", list(traits)).agg(F.first("score").cast("float"))

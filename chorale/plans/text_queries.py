@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale import sinks
 from chorale.functions import text as tx
+from chorale.functions import vectors as vx
 from chorale.operators import enrich, frequent, numbers, profiles, rows, tags, terms, tones
 from chorale.plans import views
 from chorale.plans.registry import query
@@ -328,6 +329,23 @@ def profile_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    """WITH lists AS (
+        SELECT vec_id, CAST(embedding[1:1 + vec_id % 5] AS DOUBLE[]) AS a, CAST(embedding[1:1 + label % 7] AS DOUBLE[]) AS b FROM embeddings),
+    means AS (
+        SELECT vec_id, list_transform(list_zip(a, b), lambda x: (coalesce(x[1], 0) + coalesce(x[2], 0)) / 2) AS m FROM lists)
+    SELECT vec_id, CAST(len(m) AS INTEGER) AS n, round(list_sum(m), 6) AS total, round(m[len(m)], 6) AS last FROM means"""
+)
+def padded_means(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element-wise means of lists of uneven length (SCL-18)."""
+    vectors = views.table(spark, sf_dir, "embeddings")
+    part = lambda n: F.slice("embedding", 1, (1 + F.col(n[0]) % n[1]).cast("int")).cast("array<double>")
+    means = vectors.select("vec_id", vx.padded_mean(part(("vec_id", 5)), part(("label", 7))).alias("m"))
+    total = F.aggregate("m", F.lit(0.0), lambda s, x: s + x)
+    return means.select(
+        "vec_id", F.size("m").alias("n"), F.round(total, 6).alias("total"), F.round(F.element_at("m", -1), 6).alias("last"))
+
+
 @query(
     """WITH lexicon AS (
         SELECT term, 'tone' || (ascii(term) % 13) AS tone, (length(term) % 5) / 4.0::DOUBLE AS weight

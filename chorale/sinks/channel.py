@@ -27,7 +27,9 @@ NAME = "chorale-channel"
 
 def _open(path: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a folder, of any kind that Arrow knows, and the folder's path there."""
-    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), path)
+    if path.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pafs.FileSystem.from_uri(path) if "://" in path else (pafs.LocalFileSystem(), path)
 
 
 def _batch_file(root: str, batch_id: int) -> str:

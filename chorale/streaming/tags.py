@@ -1,9 +1,9 @@
 """Smoothed per-tag state in Spark's state store (STR-4, STR-5).
 
 Each micro-batch touches the tags it holds and no others, so its cost does not
-grow with the number of tags ever seen. Rows are combined per map task before
-they are shuffled by tag: a hot tag sends one row per tone and task, not one per
-post.
+grow with the number of tags ever seen. A post goes to a map task's worker as one row
+with its tags and scores, which are paired and added up there, an Arrow batch at a time:
+a hot tag sends one row per tone and Arrow batch to its shuffle, not one per post.
 """
 
 from __future__ import annotations
@@ -11,46 +11,51 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 from decimal import ROUND_HALF_UP, Decimal
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from chorale.functions import text as tx
 from chorale.operators import tagstate as tg
 from chorale.streaming.state import Snapshot
 
 PARTIAL = "tag string, tone string, total double, n bigint"
 STATE = "count bigint, tones array<string>, scores array<double>"
 TAG_STATE = "tag string, count bigint, scores map<string,double>"
-# Rows held by the combiner of a map task before it shrinks or hands them on.
-HELD = 200_000
 
 
-def _grouped(rows: pd.DataFrame) -> pd.DataFrame:
-    return rows.groupby(["tag", "tone"], as_index=False, sort=False).agg(
-        total=("total", "sum"), n=("n", "sum")
-    )
-
+def partial_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums and counts per tag and tone of the posts (tags, scores) of each batch, and the number of its posts.
 
-def combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sums and counts per tag and tone of one map task, in bounded memory."""
-    held: list[pd.DataFrame] = []
-    size = 0
+    The number of posts goes by a name no tag can have and by a tone of its own.
+    """
     for batch in batches:
-        rows = pd.DataFrame(
-            {"tag": batch["tag"], "tone": batch["tone"], "total": batch["score"], "n": 1}
+        if not batch.num_rows:
+            continue
+        tags, scores = batch.column("tags"), batch.column("scores")
+        n_tags, n_scores = (pc.fill_null(pc.list_value_length(c), 0).to_numpy(zero_copy_only=False) for c in (tags, scores))
+        tags, scores = tags.flatten(), scores.flatten()
+        # Every tag of a post meets every score of the post.
+        times = np.repeat(n_scores, n_tags)
+        first = np.repeat(np.cumsum(n_scores) - n_scores, n_tags)
+        of_tag = np.repeat(np.arange(len(times)), times)
+        of_score = np.arange(len(of_tag)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
+        pairs = pa.table({
+            "tag": tags.take(pa.array(of_tag)), "tone": scores.field(0).take(pa.array(of_score)),
+            "score": scores.field(1).take(pa.array(of_score)),
+        })
+        sums = pairs.group_by(["tag", "tone"]).aggregate([("score", "sum"), ([], "count_all")])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*sums.column("tag").to_pylist(), tg.TOTAL]), pa.array([*sums.column("tone").to_pylist(), tg.TOTAL]),
+             pa.array([*sums.column("score_sum").to_pylist(), 0.0], pa.float64()),
+             pa.array([*sums.column("count_all").to_pylist(), batch.num_rows], pa.int64())],
+            names=["tag", "tone", "total", "n"],
         )
-        held.append(_grouped(rows))
-        size += len(held[-1])
-        if size > HELD:
-            held = [_grouped(pd.concat(held))]
-            size = len(held[0])
-            if size > HELD // 2:
-                yield held.pop()
-                size = 0
-    if held:
-        yield _grouped(pd.concat(held))
 
 
 def _half_up(value: float) -> float:
@@ -81,10 +86,11 @@ def smooth(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iter
     )
 
 
-def state_changes(rows: DataFrame) -> DataFrame:
-    """Stream of (tag, tone, score) to the new state of every tag it touches."""
-    partial = rows.select("tag", "tone", F.col("score").cast("double").alias("score")).mapInPandas(
-        combine, PARTIAL
+def state_changes(posts: DataFrame, text: str = "text", scores: str = "scores") -> DataFrame:
+    """Stream of posts to the new state of every tag it touches, and of the number of posts."""
+    known = F.coalesce(F.map_entries(F.col(scores).cast("map<string,double>")), F.array().cast("array<struct<key:string,value:double>>"))
+    partial = posts.select(tx.hashtags(F.col(text), bare=False).alias("tags"), known.alias("scores")).mapInArrow(
+        partial_sums, PARTIAL
     )
     changed = partial.groupBy("tag").applyInPandasWithState(
         smooth, f"tag string, {STATE}", STATE, "update", GroupStateTimeout.NoTimeout
@@ -129,7 +135,7 @@ def stored_metrics(
             changed.unpersist()
 
     return (
-        state_changes(tg.counted_rows(posts))
+        state_changes(posts)
         .writeStream.outputMode("update")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(each)

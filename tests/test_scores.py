@@ -107,11 +107,6 @@ def test_describe_matches_spark(spark):
     assert {k: float(ours[k]) for k in theirs} == theirs
 
 
-def test_trait_matrix(spark):
-    df = spark.createDataFrame([("u", "a", 0.5), ("u", "b", 0.25)], "userid string, trait string, score double")
-    assert tuple(profiles.trait_matrix(df, ["a", "b"]).first()) == ("u", 0.5, 0.25)
-
-
 def test_lexicon_enrichment(spark):
     posts = spark.createDataFrame([(1, "Good good bad"), (2, "nothing")], "id int, text string")
     lexicon = spark.createDataFrame(

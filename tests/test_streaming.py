@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chorale import sinks
 from chorale.functions import render as rd
+from chorale.functions import text as tx
 from chorale.operators import enrich
 from chorale.operators import rows as rw
 from chorale.operators import tagstate as tg
@@ -359,13 +360,19 @@ def test_stored_state_equals_folded_state(spark, tmp_path):
     assert sorted(read) == sorted(messages)
 
 
-def test_combiner_hands_on_when_full(monkeypatch):
-    import pandas as pd
-
-    monkeypatch.setattr(tags, "HELD", 10)
-    batches = [pd.DataFrame({"tag": [f"#{i}" for i in range(j, j + 8)], "tone": "t", "score": 1.0}) for j in (0, 4, 8)]
-    out = pd.concat(tags.combine(iter(batches)))
-    assert out["n"].sum() == 24 and out.groupby("tag")["n"].sum()["#5"] == 2
+def test_partial_sums_are_those_of_the_pairs(spark):
+    draw = random.Random(3)
+    posts = [
+        (i, "en", " ".join(f"#{draw.choice('abc')}" for _ in range(draw.randrange(4))),
+         draw.choice([None, {}, {"joy": 1.5}, {"joy": 2.0, "anger": float(i)}]))
+        for i in range(500)
+    ] + [(501, "en", None, {"joy": 1.0})]
+    df = spark.createDataFrame(posts, POSTS).repartition(3)
+    known = F.coalesce(F.map_entries("scores"), F.array().cast("array<struct<key:string,value:double>>"))
+    found = df.select(F.coalesce(tx.hashtags(F.col("text"), bare=False), F.array().cast("array<string>")).alias("tags"), known.alias("scores"))
+    sums = found.mapInArrow(tags.partial_sums, tags.PARTIAL).groupBy("tag", "tone").agg(F.sum("total"), F.sum("n"))
+    pairs = tg.counted_rows(df).groupBy("tag", "tone").agg(F.sum("score"), F.count("*"))
+    assert sorted(map(tuple, sums.collect())) == sorted(map(tuple, pairs.collect()))
 
 
 def test_messages_to_metrics_and_to_table(spark, tmp_path):
