@@ -34,9 +34,9 @@ shingles AS (
     FROM (SELECT r, w, unnest(range(1, greatest(len(w) - 3, 2))) AS s FROM docs WHERE len(w) > 0)),
 sizes AS (SELECT r, count(*) AS n FROM shingles GROUP BY r),
 shared AS (
-    SELECT a.r AS a, b.r AS b, count(*) AS both FROM shingles a JOIN shingles b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
+    SELECT a.r AS a, b.r AS b, count(*) AS common FROM shingles a JOIN shingles b ON a.g = b.g AND a.r < b.r GROUP BY 1, 2),
 links AS (
-    SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * both >= 75 * (x.n + y.n - both)),
+    SELECT a, b FROM shared JOIN sizes x ON x.r = a JOIN sizes y ON y.r = b WHERE 100 * common >= 75 * (x.n + y.n - common)),
 ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (SELECT r AS a, r AS b FROM sizes UNION SELECT reached.a, ways.b FROM reached JOIN ways ON reached.b = ways.a),
 lowest AS (SELECT reached.a AS r, min(docs.doc_id) AS component_id FROM reached JOIN docs ON docs.r = reached.b GROUP BY 1)
