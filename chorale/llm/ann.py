@@ -69,7 +69,7 @@ def _diverse(own: np.ndarray, x: np.ndarray, near: np.ndarray, links: int) -> np
         rows = near[a : a + 256]
         vectors = x[rows]
         mine = np.einsum("nd,ncd->nc", own[a : a + len(rows)], vectors)
-        among = np.einsum("ncd,ned->nce", vectors, vectors)
+        among = vectors @ vectors.transpose(0, 2, 1)
         chosen = np.zeros(rows.shape, bool)
         for c in range(count):
             closer = np.where(chosen, among[:, c, :], -np.inf).max(1)
