@@ -588,3 +588,23 @@ def test_commit_of_a_published_batch_changes_nothing(tmp_path):
     writer.abort([second, None], 8)
     assert len(list((tmp_path / "c" / "data").iterdir())) == 1
     assert channel.published_batches(None, str(tmp_path / "none")) == []
+
+
+def test_a_batch_costs_what_it_changes(spark, tmp_path):
+    """State rows touched per batch stay the same while the tags seen grow."""
+    src = str(tmp_path / "src")
+    for b in range(5):
+        _write(spark, src, [(b * 20 + i, "en", f"#t{b}x{i} #all", {"joy": 1.0}) for i in range(20)])
+        time.sleep(0.05)
+    query = StreamJob(lambda: tags.stored_metrics(
+        _source(spark, src), str(tmp_path / "top"), str(tmp_path / "cp"), pl.write_message_folder(str(tmp_path / "out")))
+    ).run_available().query
+    state = [p["stateOperators"][0] for p in query.recentProgress if p["stateOperators"] and p["numInputRows"]]
+    assert [s["numRowsUpdated"] for s in state] == [22] * 5  # twenty tags, the common one and the total
+    assert [s["numRowsTotal"] for s in state] == [2 + 20 * (k + 1) for k in range(5)]
+    total = StreamJob(lambda: pl.published_total(
+        _source(spark, src), str(tmp_path / "cp2"), pl.write_message_folder(str(tmp_path / "total")))).run_available().query
+    state = [p["stateOperators"][0] for p in total.recentProgress if p["stateOperators"] and p["numInputRows"]]
+    assert [s["numRowsTotal"] for s in state] == [1] * 5
+    told = spark.read.parquet(str(tmp_path / "total")).orderBy("batch_id").collect()
+    assert [r.value for r in told] == [f'[["total_tweets",{20 * (k + 1)}]]' for k in range(5)]
