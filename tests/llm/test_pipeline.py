@@ -85,14 +85,15 @@ def test_stages_on_odd_rows(spark, documents, odd_rows, tmp_path):
     labels = [(k, 1, int(k == 9)) for k in range(1, 10)]
     spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{place}/labels.parquet")
     docs = documents(odd_rows + [(9, "toxic words"), (None, None)], extra=("n", "k")).withColumnsRenamed({"x0": "node", "x1": "copies"})
-    wanted = {"toxicity": {1, 2, 3, 4, 5, 6, 7, 8, None}, "jaccard_join": {1, 2, 3, 4, 5, 6, 7, 8, None}}
+    # The seventh is one passage over and over: nothing of it is left to mix.
+    wanted = {"toxicity": {1, 2, 3, 7, None}, "jaccard_join": {1, 2, 3, 7, None}, "substring_dedup": {1, 2, 3, 7, None}}
     for name, stage in corpus_pipeline.STAGES:
         columns = docs.columns
         docs = stage(spark, docs, place)
         if name != "byte_bpe":
             assert docs.columns == columns
         ids = {r.doc_id for r in docs.select("doc_id").collect()}
-        assert ids <= {*range(1, 10), None} and ids >= {4, 6, 7} | ({1, 2, 3} if name in wanted else set())
+        assert ids <= {*range(1, 10), None} and ids >= {4, 6} | wanted.get(name, set())
         empty = stage(spark, documents([]), place)
         assert empty.count() == 0
     assert docs.where("doc_id = 1").count() == 0 and docs.where("doc_id = 4").count() >= 1
