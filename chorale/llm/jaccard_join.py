@@ -12,8 +12,8 @@ shingles are compared.
 
 Groups of equal words are joined as stars to a few hubs each, and of what the sketches allow
 every class verifies its likeliest links. Groups that are in one component then are done.
-What still lies in different components is joined, each pair at the first key it shares, so
-connected copies are never expanded into pairs.
+What still lies in different components is joined on every key it shares, each pair compared
+once, so connected copies are never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -40,9 +40,6 @@ LOWEST, MEET = 32, 4
 WHOLE = LOWEST * 100 // LEAST
 # Hubs of a group, and links that a class verifies with the hubs it meets.
 HUBS = 2
-# Keys of a class that the members left apart are joined on, the smallest ones. Of two linked classes'
-# keys three fifths are equal, two fifths where all spared ones were: none of these has odds of 1e-13.
-REST = 64
 
 
 @cache
@@ -199,7 +196,9 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _groups(texts: DataFrame, marks: DataFrame) -> DataFrame:
-    """(key, node) of the keys that classes share, without the most frequent ones that a class can spare.
+    """(key, node, own, n) of the keys that classes share, without the most frequent ones that a class can spare.
+
+    A key is a class's own if it is one of its band; n is the size of the class.
 
     All keys that two linked classes share stand in one order, by frequency. A class needs
     so many of them, and gives up one less, its last ones: the first of all is kept by both.
@@ -212,10 +211,11 @@ def _groups(texts: DataFrame, marks: DataFrame) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("classes", "key"))).alias("keys")
     )
     own = F.col("band").bitwiseAND(F.lit(1)) == F.col("odd")
-    spared = ranked.join(marks.select("node", "band", "need", "need_below"), "node").withColumn(
-        "stay", F.size("keys") + 1 - F.when(own, F.col("need")).otherwise(F.col("need_below"))
+    spared = ranked.join(marks.select("node", "n", "band", "need", "need_below"), "node").withColumn("own", own).withColumn(
+        "stay", F.size("keys") + 1 - F.when(F.col("own"), F.col("need")).otherwise(F.col("need_below"))
     )
-    return spared.where("stay > 0").select("node", F.explode(F.slice("keys", 1, F.col("stay"))).alias("x")).select("x.key", "node")
+    left = spared.where("stay > 0").select("node", "own", "n", F.explode(F.slice("keys", 1, F.col("stay"))).alias("x"))
+    return left.select("x.key", "node", "own", "n")
 
 
 def _stars(groups: DataFrame, marks: DataFrame) -> DataFrame:
@@ -232,25 +232,21 @@ def _stars(groups: DataFrame, marks: DataFrame) -> DataFrame:
 
 
 def _left_apart(groups: DataFrame, labels: DataFrame, marks: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a group with different labels whose sketches allow a link, at the first key they share."""
+    """Pairs (a, b) with different labels that share any key and whose sketches allow a link, once each.
+
+    Two classes sketched for a band below both of theirs need no key there: they meet in their own.
+    """
     here = Window.partitionBy("key")
     placed = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     open_ = placed.withColumn("low", F.min("label").over(here)).withColumn("high", F.max("label").over(here)).where("low <> high")
-    below = Window.partitionBy("node").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)
-    few = (
-        open_.select("key", "node", "label").repartition("node")
-        .withColumn("_n", F.row_number().over(Window.partitionBy("node", F.col("key").bitwiseAND(F.lit(1))).orderBy("key")))
-        .where(F.col("_n") <= REST)
-        .select("key", "node", "label", F.collect_list("key").over(below).alias("smaller"))
-    )
-    # Both sides of the join are one exchange.
-    rest = few.join(marks, "node")
-    x, y = rest.alias("x"), rest.alias("y")
-    first = ~F.arrays_overlap("x.smaller", "y.smaller")
-    return x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
-        & (F.col("x.label") != F.col("y.label")) & _near("x", "y") & first,
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+    # Both sides of the join are one exchange, and a pair is told apart from its copies before it meets its sketches.
+    x, y = open_.alias("x"), open_.alias("y")
+    pairs = x.join(
+        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
+        & (F.col("x.own") | F.col("y.own")) & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * LEAST),
+    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    x, y = marks.alias("x"), marks.alias("y")
+    return pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_near("x", "y")).select("a", "b")
 
 
 def links(texts: DataFrame) -> DataFrame:

@@ -177,3 +177,29 @@ def test_a_passage_of_many_documents_groups_no_one(spark, documents):
     left = jj._groups(texts, marks).groupBy("key").count()
     assert left.agg({"count": "max"}).first()[0] <= 10  # of 300
     assert sorted((tuple(r) for r in jj.similar(documents(rows)).collect()), key=repr) == brute(rows)
+
+
+def test_members_left_apart_meet_whatever_their_smallest_keys_are(spark):
+    words = [f"z{k}" for k in range(300)]
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(words + ["more"])), (3, "other words altogether")], "node bigint, text string")
+    marks = texts.mapInArrow(
+        jj.per_batch(jj._marks),
+        "node bigint, n bigint, band int, own array<bigint>, below array<bigint>, need int, need_below int")
+    # A hundred small keys of each are shared with a third class only, the larger ones with each other.
+    small = {1: range(0, 400, 4), 2: range(2, 402, 4)}
+    keys = [(k, i) for i, ks in small.items() for k in ks] + [(k, 3) for ks in small.values() for k in ks]
+    keys += [(k, i) for i in (1, 2) for k in range(1000, 1400, 2)]
+    groups = spark.createDataFrame([(k, i, True, 3 if i == 3 else 296) for k, i in keys], "key bigint, node bigint, own boolean, n bigint")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    assert [tuple(r) for r in jj._left_apart(groups, labels, marks).collect()] == [(1, 2)]
+
+
+def test_a_key_of_the_band_below_both_is_not_needed(spark):
+    texts = spark.createDataFrame([(i, " ".join(f"z{k}" for k in range(300 + i))) for i in (1, 2, 3)], "node bigint, text string")
+    marks = texts.mapInArrow(
+        jj.per_batch(jj._marks),
+        "node bigint, n bigint, band int, own array<bigint>, below array<bigint>, need int, need_below int")
+    rows = [(7, 1, False, 297), (7, 2, False, 298), (9, 2, False, 298), (9, 3, True, 299)]
+    groups = spark.createDataFrame(rows, "key bigint, node bigint, own boolean, n bigint")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    assert [tuple(r) for r in jj._left_apart(groups, labels, marks).collect()] == [(2, 3)]
