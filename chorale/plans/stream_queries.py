@@ -124,11 +124,15 @@ def write_slices(df: DataFrame, number: Column, path: str) -> int:
     no row stands for no slice.
     """
     spark = df.sparkSession
+    # The table may be joins of others, so it is told once and not again for every slice.
+    cut, staged = df.withColumn("slice_number", number), scratch_path(spark, "staged")
+    cut.write.partitionBy("slice_number").parquet(staged)
+    whole = spark.read.schema(cut.schema).parquet(staged)
     # One row per slice.
-    sizes = sorted(df.groupBy(number.alias("piece")).count().collect(), key=lambda r: (r.piece is not None, r.piece))
+    sizes = sorted(whole.groupBy(F.col("slice_number").alias("piece")).count().collect(), key=lambda r: (r.piece is not None, r.piece))
     files = max([1, *(-(-r["count"] // FILE_ROWS) for r in sizes)])
     for r in sizes:
-        rows = df.where(number.eqNullSafe(r.piece))
+        rows = whole.where(F.col("slice_number").eqNullSafe(r.piece)).drop("slice_number")
         if r["count"] >= 1000 * files > 1000:
             rows.repartition(files).write.mode("append").parquet(path)
             continue

@@ -608,3 +608,23 @@ def test_a_batch_costs_what_it_changes(spark, tmp_path):
     assert [s["numRowsTotal"] for s in state] == [1] * 5
     told = spark.read.parquet(str(tmp_path / "total")).orderBy("batch_id").collect()
     assert [r.value for r in told] == [f'[["total_tweets",{20 * (k + 1)}]]' for k in range(5)]
+
+
+def test_slices_of_a_joined_table_are_told_once(spark, tmp_path):
+    from chorale.plans.stream_queries import write_slices
+
+    told = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            told.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, None if i % 5 == 4 else i % 5) for i in range(100)]
+    frame = spark.createDataFrame(rows, "id int, piece int").mapInArrow(count, "id int, piece int")
+    path = str(tmp_path / "slices")
+    assert write_slices(frame, F.col("piece"), path) == 1 and told.value == 100
+    found = spark.read.schema("id int, piece int").parquet(path).withColumn("at", F.col("_metadata.file_modification_time"))
+    assert sorted((r.id, r.piece) for r in found.collect()) == sorted(rows)
+    order = [r.piece for r in found.groupBy("piece").agg(F.min("at").alias("at")).orderBy("at").collect()]
+    assert order == [None, 0, 1, 2, 3]
