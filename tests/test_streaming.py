@@ -628,3 +628,24 @@ def test_slices_of_a_joined_table_are_told_once(spark, tmp_path):
     assert sorted((r.id, r.piece) for r in found.collect()) == sorted(rows)
     order = [r.piece for r in found.groupBy("piece").agg(F.min("at").alias("at")).orderBy("at").collect()]
     assert order == [None, 0, 1, 2, 3]
+
+
+def test_throttle_calls_python_for_buckets_and_not_for_keys(spark, tmp_path):
+    ddl = "k string, id bigint, ms bigint"
+    (tmp_path / "many").mkdir()
+    draw, last, expected = random.Random(6), {}, []
+    for batch in range(3):
+        rows = [(f"k{draw.randrange(500)}", batch * 10_000 + i, 1000 + batch * 1000 + draw.randrange(1000)) for i in range(2000)]
+        for k, i, ms in sorted(rows, key=lambda r: (r[2], r[1])):
+            if k not in last or ms > last[k] + 200:
+                last[k] = ms
+                expected.append((k, ms, i))
+        _write(spark, str(tmp_path / "many"), rows, ddl)
+        time.sleep(0.05)
+    stream = _source(spark, str(tmp_path / "many"), ddl).withColumn("ts", F.timestamp_millis("ms"))
+    out = str(tmp_path / "many-out")
+    query = StreamJob(lambda: pl.capture(throttled(stream, "k", "ts", "id", 200), out, str(tmp_path / "many-cp"))).run_available().query
+    assert _sent(spark, out) == sorted(expected)
+    # 500 keys in each batch; with a bucket for each there would be that many states.
+    buckets = [p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress if p["stateOperators"]]
+    assert 0 < max(buckets) <= 450
