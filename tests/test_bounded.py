@@ -148,3 +148,24 @@ def test_a_scorer_is_loaded_once_a_task_and_its_failures_are_kept(spark):
     assert all((r.s.scores, r.s.error) == wanted[r.text] for r in got) and len(got) == 240
     assert loads.value <= 2
     assert df.where("id < 0").select(enrich.loaded_scores(load, F.col("text")).alias("s")).count() == 0
+
+
+def test_terms_of_words_are_looked_for_once_in_a_word(spark):
+    # The plan sends a text's words, and places of different words alone.
+    texts = spark.createDataFrame([(i, "the carpet and the car-park " * 20) for i in range(50)], "id int, text string")
+    table = spark.createDataFrame([(w,) for w in ("carp", "car", "park", "r-pa", "the ")], "term string")
+    found = terms.term_matches(texts, "id", F.col("text"), table)
+    assert sorted(map(tuple, found.collect())) == sorted((i, w) for i in range(50) for w in ("carp", "car", "park", "r-pa", "the "))
+    words = table.where("term in ('carp', 'park')")
+    plan = terms.term_matches(texts, "id", F.col("text"), words)._jdf.queryExecution().optimizedPlan().toString()
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if "{4,4}" in line)
+    assert any("Aggregate" in line for line in lines[at:]) and "[\\p{L}" in plan
+
+
+def test_unequal_words_and_repeated_keys(spark):
+    texts = spark.createDataFrame([(1, "abcd ab"), (1, "abcd ab"), (None, "éab_9 x"), (2, "ab-cd"), (3, None)], "id int, text string")
+    table = spark.createDataFrame([("ab",), ("abcd",), ("ab_9",), ("b-c",), ("é",)], "term string")
+    got = sorted(map(tuple, terms.term_matches(texts, "id", F.col("text"), table).collect()), key=repr)
+    # Terms of GRAM and more once a key; shorter ones once a row.
+    assert got == sorted([(1, "ab"), (1, "ab"), (1, "abcd"), (None, "ab"), (None, "ab_9"), (None, "é"), (2, "ab"), (2, "b-c")], key=repr)
