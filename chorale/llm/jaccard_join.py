@@ -12,8 +12,9 @@ shingles are compared.
 
 Groups of equal words are joined as stars to a few hubs each, and of what the sketches allow
 every class verifies its likeliest links. Groups that are in one component then are done.
-What still lies in different components is joined on every key it shares, each pair compared
-once, so connected copies are never expanded into pairs.
+What still lies in different components meets on every key it shares: the rows of a key are
+dealt to blocks, sketches of two blocks are compared at once, and only pairs they allow become
+rows. Connected copies are never expanded into pairs.
 """
 
 from __future__ import annotations
@@ -40,6 +41,9 @@ LOWEST, MEET = 32, 4
 WHOLE = LOWEST * 100 // LEAST
 # Hubs of a group, and links that a class verifies with the hubs it meets.
 HUBS = 2
+# Rows of a block of a group left apart, 64-bit integers of the sketch that each carries, and
+# pairs of rows compared at once.
+BLOCK, LONGS, AT_ONCE = 512, 16, 1 << 17
 
 
 @cache
@@ -87,18 +91,31 @@ def join_keys(hashes: np.ndarray, k: int) -> np.ndarray:
     return keys & ~U(1) | U(k & 1)
 
 
+def differing(size: int, k: int) -> int:
+    """Most differing shingles of a set and one it is linked with and meets in band k.
+
+    They are a seventh of both sizes together: the other set is a third larger at most, and
+    one of the band below is no larger than that band's sets.
+    """
+    largest = size * 100 // LEAST if k == band(size) else _bands()[k + 1] - 1
+    return (size + largest) * (100 - LEAST) // (100 + LEAST)
+
+
 def needed(hashes: np.ndarray, k: int) -> int:
     """How many of a set's keys of band k any linked set has too, at least.
 
-    Equal words that are empty in both are none of them; 1 where empty words are keys.
+    Every differing shingle spoils one of the words it fills; 1 where that may be all of them.
     """
-    equal = width(k) - bound(k)
-    return max(1, equal - (width(k) - len(sketch_words(hashes, k)[0])))
+    return max(1, len(sketch_words(hashes, k)[0]) - differing(len(hashes), k))
 
 
 def parity(hashes: np.ndarray, k: int) -> np.ndarray:
-    """One bit per shingle: the parity of how many fall on it, in 64-bit integers."""
-    bits = -(-_bands()[k + 1] // 64) * 64
+    """Bits that hold the parity of how many shingles fall on each, in 64-bit integers.
+
+    One bit per shingle, and four for small sets, as far as these fit a block's rows.
+    """
+    most = _bands()[k + 1]
+    bits = -(-max(most, min(4 * most, 64 * LONGS)) // 64) * 64
     at = ((mix(hashes ^ U(0x5555555555555555)) >> U(32)) * U(bits)) >> U(32)
     return np.packbits((np.bincount(at.astype(np.int64), minlength=bits) & 1).astype(np.uint8)).view(np.int64)
 
@@ -231,20 +248,80 @@ def _stars(groups: DataFrame, marks: DataFrame) -> DataFrame:
     return near.withColumn("_n", F.row_number().over(best)).where(F.col("_n") <= HUBS).select("a", "b")
 
 
+def _folded(sketch: str) -> Column:
+    """A sketch laid over itself so that LONGS are left; sketches differ in no fewer bits than these."""
+    def over(i: Column) -> Column:
+        return F.aggregate(F.filter(sketch, lambda _, at: at % LONGS == i), F.lit(0).cast("bigint"), lambda s, x: s.bitwiseXOR(x))
+
+    return F.when(F.size(sketch) <= LONGS, F.col(sketch)).otherwise(F.transform(F.sequence(F.lit(0), F.lit(LONGS - 1)), over))
+
+
+def _block_rows(column: pa.ListArray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """Ends of the blocks, node, label, n, own and band of their rows, and the rows' sketches (zeros fill them up)."""
+    ends = np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    *plain, lists = column.flatten().flatten()
+    sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+    sketches = np.zeros((len(lists), LONGS), np.int64)
+    sketches[np.arange(LONGS) < sizes[:, None]] = lists.flatten().to_numpy()
+    # numpy counts the bits of a signed number's absolute value.
+    return ends, [c.to_numpy(zero_copy_only=False) for c in plain], sketches.view(np.uint64)
+
+
+def _compare(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Pairs (a, b) of a row of block x and one of block y, or of two rows if that is one block, that may be linked."""
+    ends_x, (node_x, label_x, n_x, own_x, band_x), sketch_x = _block_rows(batch.column("x"))
+    ends_y, (node_y, label_y, n_y, own_y, band_y), sketch_y = _block_rows(batch.column("y"))
+    block = np.repeat(np.arange(batch.num_rows), np.diff(ends_x, prepend=0))
+    same = batch.column("same").to_numpy(zero_copy_only=False)[block]
+    start_x, start_y = (np.r_[0, e[:-1]][block] for e in (ends_x, ends_y))
+    # A row meets those of the other block from ``first`` on, in its own block those after it.
+    first = np.where(same, start_y + np.arange(len(block)) - start_x + 1, start_y)
+    meets = ends_y[block] - first
+    upto = np.cumsum(meets)
+    found, at = [], 0
+    while at < len(block):
+        to = max(at + 1, int(np.searchsorted(upto, upto[at] - meets[at] + AT_ONCE, "right")))
+        i = np.repeat(np.arange(at, to), meets[at:to])
+        j = np.arange(len(i)) - np.repeat(upto[at:to] - meets[at:to] - (upto[at] - meets[at]), meets[at:to]) + first[i]
+        low, high = np.minimum(n_x[i], n_y[j]), np.maximum(n_x[i], n_y[j])
+        open_ = (label_x[i] != label_y[j]) & (own_x[i] | own_y[j]) & (low * 100 >= high * LEAST)
+        i, j = i[open_], j[open_]
+        apart = np.bitwise_count(sketch_x[i] ^ sketch_y[j]).sum(axis=1, dtype=np.int64)
+        # Sketches of two bands tell nothing.
+        near = (apart * (100 + LEAST) <= (n_x[i] + n_y[j]) * (100 - LEAST)) | (band_x[i] != band_y[j])
+        a, b = node_x[i[near]], node_y[j[near]]
+        found.append(np.stack([np.minimum(a, b), np.maximum(a, b)]))
+        at = to
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+
+
+def _blocks_met(groups: DataFrame, labels: DataFrame, marks: DataFrame) -> DataFrame:
+    """Blocks x and y of a key's rows, each once with itself (``same``) and with each other one, but none of one label only."""
+    here = Window.partitionBy("key")
+    placed = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    open_ = placed.withColumn("low", F.min("label").over(here)).withColumn("high", F.max("label").over(here)).where("low <> high")
+    short = marks.select("node", "band", _folded("own").alias("short"), _folded("below").alias("short_below"))
+    row = F.struct(
+        "node", "label", "n", "own", (F.col("band") - F.when(F.col("own"), 0).otherwise(1)).alias("band"),
+        F.when(F.col("own"), F.col("short")).otherwise(F.col("short_below")).alias("sketch"),
+    )
+    rows = open_.join(short, "node").select("key", "label", "node", row.alias("row"))
+    blocks = rows.withColumn("part", F.floor((F.row_number().over(here.orderBy("label", "node")) - 1) / BLOCK)).groupBy(
+        "key", "part").agg(F.collect_list("row").alias("rows"), F.min("label").alias("low"), F.max("label").alias("high"))
+    x, y = blocks.alias("x"), blocks.alias("y")
+    return x.join(
+        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.part") <= F.col("y.part"))
+        & (F.least("x.low", "y.low") != F.greatest("x.high", "y.high")),
+    ).select(F.col("x.rows").alias("x"), F.col("y.rows").alias("y"), (F.col("x.part") == F.col("y.part")).alias("same"))
+
+
 def _left_apart(groups: DataFrame, labels: DataFrame, marks: DataFrame) -> DataFrame:
     """Pairs (a, b) with different labels that share any key and whose sketches allow a link, once each.
 
     Two classes sketched for a band below both of theirs need no key there: they meet in their own.
     """
-    here = Window.partitionBy("key")
-    placed = groups.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    open_ = placed.withColumn("low", F.min("label").over(here)).withColumn("high", F.max("label").over(here)).where("low <> high")
-    # Both sides of the join are one exchange, and a pair is told apart from its copies before it meets its sketches.
-    x, y = open_.alias("x"), open_.alias("y")
-    pairs = x.join(
-        y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.label") != F.col("y.label"))
-        & (F.col("x.own") | F.col("y.own")) & (F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * LEAST),
-    ).select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
+    pairs = _blocks_met(groups, labels, marks).mapInArrow(per_batch(_compare), "a bigint, b bigint").distinct()
     x, y = marks.alias("x"), marks.alias("y")
     return pairs.join(x, F.col("a") == F.col("x.node")).join(y, F.col("b") == F.col("y.node")).where(_near("x", "y")).select("a", "b")
 

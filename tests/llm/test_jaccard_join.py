@@ -203,3 +203,80 @@ def test_a_key_of_the_band_below_both_is_not_needed(spark):
     groups = spark.createDataFrame(rows, "key bigint, node bigint, own boolean, n bigint")
     labels = spark.createDataFrame([], "node bigint, label bigint")
     assert [tuple(r) for r in jj._left_apart(groups, labels, marks).collect()] == [(2, 3)]
+
+
+MARKS = "node bigint, n bigint, band int, own array<bigint>, below array<bigint>, need int, need_below int"
+
+
+def test_a_large_label_and_many_others_meet_as_blocks(spark):
+    # 1500 members of one label and 90 others in one key: 1500 * 90 pairs of rows, few of blocks.
+    draw = random.Random(3)
+    base = [f"w{k}" for k in range(90)]
+    texts = []
+    for i in range(1590):
+        copy = list(base)
+        for at in draw.sample(range(90), 2 if i < 1500 else draw.choice([4, 12])):
+            copy[at] = f"y{draw.randrange(10**6)}"
+        texts.append((i, " ".join(copy)))
+    sets = {i: shingles(t) for i, t in texts}
+    k = jj.band(86)
+    assert {jj.band(len(s)) for s in sets.values()} == {k}
+    marks = spark.createDataFrame(texts, "node bigint, text string").repartition(8).mapInArrow(jj.per_batch(jj._marks), MARKS)
+    groups = spark.createDataFrame([(7, i, True, len(s)) for i, s in sets.items()], "key bigint, node bigint, own boolean, n bigint")
+    labels = spark.createDataFrame([(i, 0) for i in range(1500)], "node bigint, label bigint")
+    met = jj._blocks_met(groups, labels, marks).collect()
+    assert len(met) <= 8 and max(len(r.x) for r in met) <= jj.BLOCK
+    found = {tuple(r) for r in jj._left_apart(groups, labels, marks).collect()}
+    must = {
+        (a, b) for b in range(1500, 1590) for a in range(b)
+        if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
+    }
+    assert must and must <= found and len(found) < 3 * len(must) + 100
+    assert all(a < b and b >= 1500 for a, b in found)
+
+
+def test_blocks_and_turns_of_any_size_give_the_same_pairs(spark, monkeypatch):
+    rows = families(4, 9)
+    texts = spark.createDataFrame([(i + 1, t) for i, t in rows if shingles(t)], "node bigint, text string")
+    marks = jj.kept(texts.mapInArrow(jj.per_batch(jj._marks), MARKS))
+    groups = jj.kept(jj._groups(texts, marks))
+    labels = spark.createDataFrame([(i, i // 3) for i in range(1, 40)], "node bigint, label bigint")
+    whole = sorted(map(tuple, jj._left_apart(groups, labels, marks).collect()))
+    monkeypatch.setattr(jj, "BLOCK", 2)
+    met = jj._blocks_met(groups, labels, marks)
+    assert sorted(map(tuple, jj._left_apart(groups, labels, marks).collect())) == whole and whole
+    batch = met.toArrow().combine_chunks().to_batches()[0]
+    pairs = []
+    for at_once in (1, 5, 1 << 17):
+        monkeypatch.setattr(jj, "AT_ONCE", at_once)
+        pairs.append(jj._compare(batch).to_pydict())
+    assert pairs[0] == pairs[1] == pairs[2]
+
+
+def test_sketches_laid_over_themselves_differ_in_no_more_bits(spark):
+    draw = np.random.default_rng(2)
+    values = draw.integers(-(2**63), 2**63, 50, dtype=np.int64)
+    for n in (0, 3, jj.LONGS, jj.LONGS + 1, 50):
+        frame = spark.createDataFrame([(values[:n].tolist(),)], "s array<bigint>")
+        want = values[:n].tolist() if n <= jj.LONGS else [
+            int(np.bitwise_xor.reduce(values[:n][i :: jj.LONGS])) for i in range(jj.LONGS)]
+        assert frame.select(jj._folded("s")).first()[0] == want
+
+
+def test_keys_needed_follow_the_size_of_a_set():
+    draw = np.random.default_rng(7)
+    more = 0
+    for _ in range(400):
+        n = int(draw.integers(1, 400))
+        a = np.unique(draw.integers(0, 2**63, n, dtype=np.uint64))
+        drop, add = int(draw.integers(0, n // 4 + 1)), int(draw.integers(0, n // 3 + 1))
+        b = np.unique(np.r_[a[drop:], draw.integers(0, 2**63, add, dtype=np.uint64)])
+        if not jj.linked(a, b):
+            continue
+        for k in (set(jj.roles(len(a))) & set(jj.roles(len(b)))) - {min(jj.band(len(a)), jj.band(len(b))) - 1}:
+            both = len(np.intersect1d(jj.join_keys(a, k), jj.join_keys(b, k)))
+            assert both >= jj.needed(a, k) and both >= jj.needed(b, k)
+            for s in (a, b):
+                assert len(np.setxor1d(a, b)) <= jj.differing(len(s), k) <= jj.bound(k)
+                more += jj.needed(s, k) > len(jj.sketch_words(s, k)[0]) - jj.bound(k) > 0
+    assert more > 50
